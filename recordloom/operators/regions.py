@@ -101,52 +101,58 @@ def occupied_cells(points: DataFrame, x: Column, y: Column, cell: float = CELL)
 # ---- the tile index ---------------------------------------------------------------------------
 
 
-def _region_tiles(regions: DataFrame, cell: float) -> DataFrame:
-    top = _top_level(cell)
+def _native_level(regions: DataFrame, cell: float) -> DataFrame:
     extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    native = F.array_min(
-        F.filter(F.sequence(F.lit(0), F.lit(top)), lambda level: F.pow(F.lit(2.0), level) * cell >= extent)
-    )
+    levels = F.sequence(F.lit(0), F.lit(_top_level(cell)))
+    native = F.array_min(F.filter(levels, lambda level: F.pow(F.lit(2.0), level) * cell >= extent))
+    return regions.select("region_id", *BOX, native.alias("native"))
+
+
+def _region_tiles(leveled: DataFrame, cell: float, ring: int) -> DataFrame:
+    """The tiles each region touches on its ``level``, borders included, and ``ring`` neighbours on every side."""
     side = F.pow(F.lit(2.0), F.col("level")) * cell
-    leveled = regions.select("region_id", *BOX, native.alias("native")).withColumn(
-        "level", F.explode(F.sequence(F.col("native"), F.lit(top)))
-    )
 
     def reach(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / side) - 1, F.floor(F.col(high) / side) + 1))
+        return F.explode(F.sequence(F.ceil(F.col(low) / side) - 1 - ring, F.floor(F.col(high) / side) + ring))
 
     return leveled.withColumn("tx", reach("xmin", "xmax")).withColumn("ty", reach("ymin", "ymax"))
 
 
-def _cell_tiles(cells: DataFrame, first: Column, last: Column) -> DataFrame:
-    """The tile of every cell on each level from ``first`` to ``last``; none if the range is empty."""
+def _unit_tiles(units: DataFrame, first: Column, last: Column) -> DataFrame:
+    """The tile of every unit on each level from ``first`` to ``last``; none if the range is empty.
+
+    A unit is a tile too, ``cx``, ``cy`` on level ``size``; cells are the units of size 0.
+    """
     levels = F.when(first <= last, F.sequence(first, last))
-    return cells.withColumn("level", F.explode(levels)).withColumns(
-        {"tx": F.expr("shiftright(cx, level)"), "ty": F.expr("shiftright(cy, level)")}
+    return units.withColumn("level", F.explode(levels)).withColumns(
+        {"tx": F.expr("shiftright(cx, level - size)"), "ty": F.expr("shiftright(cy, level - size)")}
     )
 
 
-def _with_cell_box(cells: DataFrame, cell: float) -> DataFrame:
-    """Borders of each cell and the smallest and largest cosine of latitude within it.
+UNIT = ["size", *CELL_KEY]
+UNIT_BOX = ["x0", "x1", "y0", "y1", "low", "high"]
+
+
+def _with_box(units: DataFrame, cell: float) -> DataFrame:
+    """Borders of each unit and the smallest and largest cosine of latitude within it.
 
     Columns rather than expressions: lambdas would work an expression out anew for every edge.
     """
-    y0, y1 = F.col("cy") * cell, (F.col("cy") + 1) * cell
+    side = F.pow(F.lit(2.0), F.col("size")) * cell
+    y0, y1 = F.col("cy") * side, (F.col("cy") + 1) * side
+    nearest_to_equator = F.when((y0 <= 0) & (y1 >= 0), 0.0).otherwise(F.least(F.abs(y0), F.abs(y1)))
 
     def cosine(latitude: Column) -> Column:
         return F.greatest(F.lit(0.0), F.cos(F.radians(F.least(latitude, F.lit(90.0)))))
 
-    return cells.withColumns(
+    return units.withColumns(
         {
-            "x0": F.col("cx") * cell, "x1": (F.col("cx") + 1) * cell, "y0": y0, "y1": y1,
-            "low": cosine(F.greatest(F.abs(y0), F.abs(y1))), "high": cosine(F.least(F.abs(y0), F.abs(y1))),
+            "x0": F.col("cx") * side, "x1": (F.col("cx") + 1) * side, "y0": y0, "y1": y1,
+            "low": cosine(F.greatest(F.abs(y0), F.abs(y1))), "high": cosine(nearest_to_equator),
         }
     )
 
 
-CELL_BOX = ["x0", "x1", "y0", "y1", "low", "high"]
-
-
 def _least_distance(xlo: Column, xhi: Column, ylo: Column, yhi: Column) -> Column:
     """No point of the cell is nearer to anything in the box than this."""
     zero = F.lit(0.0)
@@ -164,19 +170,23 @@ def _most_distance(xlo: Column, xhi: Column, ylo: Column, yhi: Column) -> Column
     )
 
 
+def _as_units(cells: DataFrame) -> DataFrame:
+    return cells.withColumn("size", F.lit(0))
+
+
 def candidate_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL) -> DataFrame:
     """Pairs of an occupied cell and a region whose bounding boxes touch: (cx, cy, region_id).
 
     Takes the place of a cross join with the regions.
     """
-    native = _region_tiles(regions, cell).filter("level = native")
-    probes = _cell_tiles(_with_cell_box(cells, cell), F.lit(0), F.lit(_top_level(cell)))
+    native = _region_tiles(_native_level(regions, cell).withColumnRenamed("native", "level"), cell, 0)
+    probes = _unit_tiles(_with_box(_as_units(cells), cell), F.lit(0), F.lit(_top_level(cell)))
     touching = probes.join(native, TILE).filter("xmin <= x1 and xmax >= x0 and ymin <= y1 and ymax >= y0")
     return touching.select(*CELL_KEY, "region_id")
 
 
 def _inside(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
-    x0, x1, y0, y1 = (F.col(c) for c in CELL_BOX[:4])
+    x0, x1, y0, y1 = (F.col(c) for c in UNIT_BOX[:4])
 
     def in_reach(e: Column) -> Column:
         return (
@@ -184,7 +194,7 @@ def _inside(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
         )
 
     shapes = regions.select("region_id", "derived_zip", "derived_borough", "edges")
-    pairs = _with_cell_box(candidate_regions(cells, regions, cell), cell).join(shapes, "region_id")
+    pairs = _with_box(_as_units(candidate_regions(cells, regions, cell)), cell).join(shapes, "region_id")
     touched = F.exists("edges", lambda e: in_reach(e) & (F.least(e.x1, e.x2) <= x1))
     centre = contains(F.col("edges"), (x0 + x1) / 2, (y0 + y1) / 2)
     judged = pairs.withColumn("touched", touched).withColumn("whole", ~F.col("touched") & centre)
@@ -196,45 +206,53 @@ def _inside(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
 
 def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     top = F.lit(_top_level(cell))
-    tiles = _region_tiles(regions, cell)
+    native = _native_level(regions, cell)
+    tiles = native.withColumn("level", F.explode(F.sequence(F.col("native"), top)))
+    tiles = _region_tiles(tiles, cell, 1)
+    own_tiles = _region_tiles(native.withColumn("level", F.col("native")), cell, 1)
+    shapes = regions.select("region_id", "derived_zip", "derived_borough", "edges")
     box = [F.col(c) for c in BOX]
-    cells = _with_cell_box(cells, cell)
-    keep = [*CELL_KEY, *CELL_BOX]
 
-    # The finest level on which some region is in or next to the cell's tile bounds the distance.
+    def least(e: Column) -> Column:
+        return _least_distance(
+            F.least(e.x1, e.x2), F.greatest(e.x1, e.x2), F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)
+        )
+
+    def most(e: Column) -> Column:
+        return F.least(_most_distance(e.x1, e.x1, e.y1, e.y1), _most_distance(e.x2, e.x2, e.y2, e.y2))
+
+    # The finest level on which some region is in or next to the cell's tile. All regions are
+    # farther than a tile of the level below, so cells can be handled together in units of an
+    # eighth of the tile found: small next to the distance, and few however many cells are far out.
     taken = tiles.select(*TILE).distinct()
-    nearby = _cell_tiles(cells, F.lit(0), top).join(taken, TILE).groupBy(*keep).agg(F.min("level").alias("at"))
-    first = _cell_tiles(nearby, F.col("at"), F.col("at")).join(tiles, TILE)
-    bound = first.groupBy(*keep).agg(F.min(_most_distance(*box)).alias("bound"))
+    found = _unit_tiles(_as_units(cells), F.lit(0), top).join(taken, TILE).groupBy(*CELL_KEY).agg(F.min("level").alias("at"))
+    grouped = found.withColumn("size", F.greatest(F.lit(0), F.col("at") - 3)).withColumns(
+        {"ux": F.expr("shiftright(cx, size)"), "uy": F.expr("shiftright(cy, size)")}
+    )
+    units = grouped.select("size", F.col("ux").alias("cx"), F.col("uy").alias("cy"), "at").distinct()
+    units = _with_box(units, cell)
+
+    # The edges of the regions found there bound the distance from any point of the unit.
+    keep = [*UNIT, *UNIT_BOX]
+    first = _unit_tiles(units, F.col("at"), F.col("at")).join(tiles, TILE).select(*keep, "region_id")
+    reach = F.array_min(F.transform("edges", most))
+    bound = first.join(shapes, "region_id").groupBy(*keep).agg(F.min(reach).alias("bound"))
 
     # On the level whose tiles are as large as that bound, nothing beyond the neighbours can matter.
     wide_enough = F.filter(
-        F.sequence(F.lit(0), top),
+        F.sequence(F.col("size"), top),
         lambda level: F.pow(F.lit(2.0), level) * cell * F.col("low") >= F.col("bound") + SLACK,
     )
     bound = bound.withColumn("at", F.coalesce(F.array_min(wide_enough), top))
-    here = _cell_tiles(bound, F.col("at"), F.col("at")).join(tiles, TILE)
-    larger = _cell_tiles(bound, F.col("at") + 1, top).join(tiles.filter("level = native"), TILE)
+    here = _unit_tiles(bound, F.col("at"), F.col("at")).join(tiles, TILE)
+    larger = _unit_tiles(bound, F.col("at") + 1, top).join(own_tiles, TILE)
     wanted = [*keep, "bound", "region_id", *BOX]
     pairs = here.select(*wanted).unionByName(larger.select(*wanted))
-    pairs = pairs.filter(_least_distance(*box) <= F.col("bound") + SLACK)
-
-    def least(e: Column) -> Column:
-        return _least_distance(
-            F.least(e.x1, e.x2), F.greatest(e.x1, e.x2), F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)
-        )
-
-    def most(e: Column) -> Column:
-        return F.least(_most_distance(e.x1, e.x1, e.y1, e.y1), _most_distance(e.x2, e.x2, e.y2, e.y2))
-
-    # The same bound once more, now per edge: first within the pair, then over the cell.
-    shapes = regions.select("region_id", "derived_zip", "derived_borough", "edges")
-    shaped = pairs.select(*keep, "region_id").join(shapes, "region_id")
-    shaped = shaped.withColumn("reach", F.array_min(F.transform("edges", most)))
-    shaped = shaped.withColumn("edges", F.filter("edges", lambda e: least(e) <= F.col("reach") + SLACK))
-    shaped = shaped.withColumn("reach", F.min("reach").over(Window.partitionBy(*CELL_KEY)))
-    shaped = shaped.withColumn("edges", F.filter("edges", lambda e: least(e) <= F.col("reach") + SLACK))
-    return shaped.filter(F.size("edges") > 0).select(*CELL_KEY, "derived_zip", "derived_borough", "edges")
+    pairs = pairs.filter(_least_distance(*box) <= F.col("bound") + SLACK).drop(*BOX)
+    within = F.filter("edges", lambda e: least(e) <= F.col("bound") + SLACK)
+    shaped = pairs.join(shapes, "region_id").withColumn("edges", within).filter(F.size("edges") > 0)
+    per_unit = shaped.select("size", F.col("cx").alias("ux"), F.col("cy").alias("uy"), "derived_zip", "derived_borough", "edges")
+    return grouped.join(per_unit, ["size", "ux", "uy"]).select(*CELL_KEY, "derived_zip", "derived_borough", "edges")
 
 
 def index_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL) -> RegionIndex:

@@ -76,8 +76,8 @@ SELECT
   CAST(l_linenumber % 2 AS bigint) AS number_of_persons_killed,
   {_pick("l_partkey", None, "", "Unspecified", " Glare ", "Glare", "Speed")} AS contributing_factor_vehicle_1,
   {_pick("l_suppkey", None, " ", "Sedan", "SEDAN", "Bus")} AS vehicle_type_code1,
-  l_orderkey * 10 + l_linenumber AS source_row,
-  l_partkey, l_suppkey, l_extendedprice
+  CAST(l_orderkey AS string) || '-' || CAST(l_linenumber AS string) || '-' || CAST(l_partkey AS string)
+    || '-' || CAST(l_suppkey AS string) AS source_row
 FROM lineitem
 """
 
@@ -120,7 +120,7 @@ FROM (
     32 + 8 * (k % 5) AS side,
     8 + 2 * (k % 5) AS quarter
   FROM (
-    SELECT s_suppkey AS k, (s_suppkey * 197) % 528 AS place, CAST(floor((s_suppkey - 1) / 528) AS bigint) AS area
+    SELECT s_suppkey AS k, (s_suppkey * 197) % 528 AS place, CAST(floor(s_suppkey / 528) AS bigint) AS area
     FROM supplier
   ) AS placed
 ) AS sized
