@@ -77,7 +77,7 @@ SELECT
   {_pick("l_partkey", None, "", "Unspecified", " Glare ", "Glare", "Speed")} AS contributing_factor_vehicle_1,
   {_pick("l_suppkey", None, " ", "Sedan", "SEDAN", "Bus")} AS vehicle_type_code1,
   CAST(l_orderkey AS string) || '-' || CAST(l_linenumber AS string) || '-' || CAST(l_partkey AS string)
-    || '-' || CAST(l_suppkey AS string) AS source_row
+    || '-' || CAST(l_suppkey AS string) || '-' || CAST(CAST(round(l_extendedprice * 100) AS bigint) AS string) AS source_row
 FROM lineitem
 """
 
