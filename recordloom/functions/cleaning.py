@@ -55,19 +55,21 @@ def clean_zip(c: Column) -> Column:
     text = c.cast("string")
     token = normalize_token(c)
     size = F.length(text)
+    anonymous = F.lit(ANONYMOUS_ZIP.upper())
     well_shaped = size.isin(5, 9) | ((size == 10) & text.rlike(r"^\d{5}-\d{4}"))
-    return (
-        F.when(token.isin(*MISSING_ZIP_TOKENS), F.lit(None))
-        .when(token == ANONYMOUS_ZIP.upper(), F.lit(ANONYMOUS_ZIP))
-        .when(well_shaped, text)
-    )
+    special = token.isin(*MISSING_ZIP_TOKENS, anonymous)
+    return F.when(special, F.when(token == anonymous, F.lit(ANONYMOUS_ZIP))).when(well_shaped, text)
 
 
 def clean_borough(c: Column, default: str | None = None, spellings: dict[str, tuple[str, ...]] | None = None) -> Column:
-    """Replace known spellings by their canonical label; anything else becomes ``default``."""
-    token = normalize_token(c)
-    known = [F.when(token.isin(*variants), F.lit(label)) for label, variants in (spellings or BOROUGH_SPELLINGS).items()]
-    return F.coalesce(*known, F.lit(default).cast("string"))
+    """Replace known spellings by their canonical label; anything else becomes ``default``.
+
+    One look into a constant map, so the text is trimmed and upper-cased only once.
+    """
+    labels = {spelling: label for label, group in (spellings or BOROUGH_SPELLINGS).items() for spelling in group}
+    known = F.create_map(*[F.lit(text) for pair in labels.items() for text in pair])
+    found = F.try_element_at(known, normalize_token(c))
+    return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def to_numeric(c: Column, strict: bool = True) -> Column:

@@ -46,24 +46,34 @@ def _turn(e: Column, x: Column, y: Column) -> Column:
     return (e.x2 - e.x1) * (y - e.y1) - (x - e.x1) * (e.y2 - e.y1)
 
 
-def _on_edge(e: Column, x: Column, y: Column) -> Column:
-    within = x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2)) & y.between(
-        F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)
-    )
-    return within & (_turn(e, x, y) == 0)
+# What an edge through the point adds to the count of crossings; no polygon has as many edges.
+_ON_EDGE = 1 << 40
+_ODD_AND_ON_NO_EDGE = -_ON_EDGE | 1
 
 
-def _crosses_right(e: Column, x: Column, y: Column) -> Column:
-    """Does the ray from the point towards larger x cross the edge? No division, so level edges are safe."""
-    rising = (e.y1 <= y) & (y < e.y2) & (_turn(e, x, y) > 0)
-    falling = (e.y2 <= y) & (y < e.y1) & (_turn(e, x, y) < 0)
-    return rising | falling
+def _crossing(e: Column, x: Column, y: Column) -> Column:
+    """1 if the ray from the point towards larger x crosses the edge, more if the point is on it.
+
+    Most edges lie above or below and are dismissed by comparisons alone. There is no
+    division, so level edges are safe; a corner counts with the edge above it.
+    """
+    beside = ((e.y1 > y) & (e.y2 > y)) | ((e.y1 < y) & (e.y2 < y))
+    across = x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
+    rising = (e.y1 <= y) & (y < e.y2)
+    falling = (e.y2 <= y) & (y < e.y1)
+    turn = _turn(e, x, y)
+    return (
+        F.when(beside, 0)
+        .when(across & (turn == 0), _ON_EDGE)
+        .when((rising & (turn > 0)) | (falling & (turn < 0)), 1)
+        .otherwise(0)
+    )
 
 
 def contains(edges: Column, x: Column, y: Column) -> Column:
     """Even-odd containment over all rings; a point on an edge is not contained."""
-    crossings = F.size(F.filter(edges, lambda e: _crosses_right(e, x, y)))
-    return (crossings % 2 == 1) & ~F.exists(edges, lambda e: _on_edge(e, x, y))
+    crossings = F.aggregate(edges, F.lit(0).cast("bigint"), lambda n, e: n + _crossing(e, x, y))
+    return crossings.bitwiseAND(F.lit(_ODD_AND_ON_NO_EDGE)) == 1
 
 
 def shrink(y: Column) -> Column:
@@ -71,28 +81,33 @@ def shrink(y: Column) -> Column:
     return F.cos(F.radians(y))
 
 
-def distance(edges: Column, x: Column, y: Column, shrunk: Column) -> Column:
-    """Distance from the point to the nearest edge, in degrees of latitude.
+def segments(edges: Column) -> Column:
+    """Edges as start and direction, the form in which distances take the least work."""
+    return F.transform(
+        edges,
+        lambda e: F.struct(
+            e.x1.alias("x1"), e.y1.alias("y1"), (e.x2 - e.x1).alias("dx"), (e.y2 - e.y1).alias("dy")
+        ),
+    )
+
+
+def distance(segs: Column, x: Column, y: Column, shrunk: Column) -> Column:
+    """Distance from the point to the nearest segment, in degrees of latitude.
 
     Longitude is scaled by ``shrunk``, the cosine of the point's latitude. Only good for
     ranking what is near one point. Rounded, so that the two sides of a shared edge tie.
-    Lambdas are evaluated without sharing common parts, hence the small steps.
+    Lambdas work out every mention of a part anew, hence the two passes.
     """
+    never_zero = F.lit(1e-300)
 
-    def offset(e: Column) -> Column:
-        return F.struct(
-            ((e.x1 - x) * shrunk).alias("ax"), (e.y1 - y).alias("ay"),
-            ((e.x2 - e.x1) * shrunk).alias("dx"), (e.y2 - e.y1).alias("dy"),
-        )
-
-    def closest(v: Column) -> Column:
-        along = F.try_divide(-(v.ax * v.dx + v.ay * v.dy), v.dx * v.dx + v.dy * v.dy)
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
-        return F.struct(v.ax, v.ay, v.dx, v.dy, t.alias("t"))
+    def along(s: Column) -> Column:
+        """How far along the segment the closest point lies, from 0 to 1."""
+        toward = (x - s.x1) * shrunk * shrunk * s.dx + (y - s.y1) * s.dy
+        length = s.dx * s.dx * shrunk * shrunk + s.dy * s.dy + never_zero
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), toward / length))
 
-    def squared(v: Column) -> Column:
-        px, py = v.ax + v.t * v.dx, v.ay + v.t * v.dy
-        return px * px + py * py
+    def away(s: Column, t: Column) -> Column:
+        return F.hypot((s.x1 + t * s.dx - x) * shrunk, s.y1 + t * s.dy - y)
 
-    steps = F.transform(F.transform(F.transform(edges, offset), closest), squared)
-    return F.round(F.sqrt(F.array_min(steps)), 9)
+    nearest = F.array_min(F.zip_with(segs, F.transform(segs, along), away))
+    return F.floor(nearest * 1e9 + 0.5) / 1e9

@@ -27,14 +27,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_borough, fill_zip
-from ..functions.geometry import bounds, contains, distance, shrink, wkt_edges
+from ..functions.geometry import bounds, contains, distance, segments, shrink, wkt_edges
 from ..sources.scratch import materialize
 from .filters import needs_region
 from .joins import BROADCAST_BYTES, ROWS_PER_TASK, measure, sized_join
 from .projection import replace_columns
 
-# Grid cell in degrees, a power of two so that cell borders are exact: 1.1 to 1.7 km.
-CELL = 1 / 64
+# Grid cell in degrees, a power of two so that cell borders are exact: 0.9 km from north to south,
+# small next to postal areas. Finer cells hold fewer edges each but make larger tables.
+CELL = 1 / 128
 
 # The coarsest tiles; with their neighbours they hold every valid coordinate.
 WORLD = 512.0
@@ -42,6 +43,9 @@ WORLD = 512.0
 # Distances are ranked after rounding to 1e-9; candidates are kept a little beyond a tie.
 SLACK = 1e-8
 
+# Cell number of a missing coordinate, far from any real one.
+NOWHERE = -(1 << 40)
+
 TILE = ["level", "tx", "ty"]
 CELL_KEY = ["cx", "cy"]
 BOX = ["xmin", "xmax", "ymin", "ymax"]
@@ -69,7 +73,7 @@ def point(longitude: Column, latitude: Column, strict: bool = True) -> tuple[Col
     ``strict`` fails the job on an invalid latitude, otherwise it counts as missing.
     """
     x, y = longitude.cast("double"), latitude.cast("double")
-    wrapped = F.when(x.between(-180.0, 180.0), x).otherwise(F.pmod(x + 180.0, F.lit(360.0)) - 180.0)
+    wrapped = F.when(F.abs(x) <= 180.0, x).otherwise(F.pmod(x + 180.0, F.lit(360.0)) - 180.0)
     bad = F.raise_error(F.lit("latitude outside -90 to 90")).cast("double") if strict else F.lit(None).cast("double")
     return wrapped, F.when(F.abs(y) > 90.0, bad).otherwise(y)
 
@@ -89,13 +93,21 @@ def parse_regions(seed: DataFrame, wkt: str = "geom_wkt") -> DataFrame:
 
 
 def cell_columns(x: Column, y: Column, cell: float) -> dict[str, Column]:
-    return {"cx": F.floor(x / F.lit(cell)), "cy": F.floor(y / F.lit(cell))}
+    """The cell of a point, ``NOWHERE`` without coordinates.
+
+    Never NULL: for a join key that can be NULL, Spark adds a filter below the projection
+    that works the whole coordinate expression out once more for every row.
+    """
+    nowhere = F.lit(NOWHERE).cast("bigint")
+    return {"cx": F.coalesce(F.floor(x / F.lit(cell)), nowhere), "cy": F.coalesce(F.floor(y / F.lit(cell)), nowhere)}
 
 
 def occupied_cells(points: DataFrame, x: Column, y: Column, cell: float = CELL) -> DataFrame:
-    """The distinct grid cells that hold a point."""
-    numbered = points.select(*[c.alias(n) for n, c in cell_columns(x, y, cell).items()])
-    return numbered.dropna().distinct()
+    """The distinct grid cells that hold a point, and perhaps one of points without coordinates.
+
+    That one matches no region and no point.
+    """
+    return points.select(*[c.alias(n) for n, c in cell_columns(x, y, cell).items()]).distinct()
 
 
 # ---- the tile index ---------------------------------------------------------------------------
@@ -251,8 +263,11 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     pairs = pairs.filter(_least_distance(*box) <= F.col("bound") + SLACK).drop(*BOX)
     within = F.filter("edges", lambda e: least(e) <= F.col("bound") + SLACK)
     shaped = pairs.join(shapes, "region_id").withColumn("edges", within).filter(F.size("edges") > 0)
-    per_unit = shaped.select("size", F.col("cx").alias("ux"), F.col("cy").alias("uy"), "derived_zip", "derived_borough", "edges")
-    return grouped.join(per_unit, ["size", "ux", "uy"]).select(*CELL_KEY, "derived_zip", "derived_borough", "edges")
+    per_unit = shaped.select(
+        "size", F.col("cx").alias("ux"), F.col("cy").alias("uy"), "derived_zip", "derived_borough",
+        segments(F.col("edges")).alias("segments"),
+    )
+    return grouped.join(per_unit, ["size", "ux", "uy"]).select(*CELL_KEY, "derived_zip", "derived_borough", "segments")
 
 
 def index_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL) -> RegionIndex:
@@ -298,7 +313,7 @@ def without_match(points: DataFrame, matches: DataFrame, key: str) -> DataFrame:
 def nearest(points: DataFrame, index: RegionIndex, key: str, **join) -> DataFrame:
     """(key, derived_zip, derived_borough) of the nearest region; ties go to the lower code, then borough."""
     paired = sized_join(points, _at(index.near), _by_cell(), "inner", **join)
-    far = distance(F.col("edges"), F.col("x"), F.col("y"), F.col("shrunk"))
+    far = distance(F.col("segments"), F.col("x"), F.col("y"), F.col("shrunk"))
     ranked = paired.select(key, "derived_zip", "derived_borough", far.alias("_far"))
     return _first_per(ranked, key, "_far", "derived_zip", "derived_borough").drop("_far")
 
@@ -309,8 +324,11 @@ def _first_per(df: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def region_of(points: DataFrame, index: RegionIndex, key: str, multi: str = "all", **join) -> DataFrame:
-    """Containing regions, or the nearest one where there is none: (key, derived_zip, derived_borough)."""
-    exact = containing(points, index, key, multi, **join)
+    """Containing regions, or the nearest one where there is none: (key, derived_zip, derived_borough).
+
+    The containing regions are written out, as both parts of the union read them.
+    """
+    exact = materialize(containing(points, index, key, multi, **join), "exact")
     return exact.unionByName(nearest(without_match(points, exact, key), index, key, **join))
 
 
@@ -333,7 +351,7 @@ def _with_region_in_row(rows: DataFrame, index: RegionIndex, multi: str) -> Data
         return F.struct(r.derived_zip.alias("derived_zip"), r.derived_borough.alias("derived_borough"))
 
     def ranked(r: Column) -> Column:
-        return F.struct(distance(r.edges, x, y, F.col("_shrunk")).alias("far"), r.derived_zip, r.derived_borough)
+        return F.struct(distance(r.segments, x, y, F.col("_shrunk")).alias("far"), r.derived_zip, r.derived_borough)
 
     exact = F.transform(F.filter("_inside", lambda r: r.whole | contains(r.edges, x, y)), label)
     if multi != "all":
@@ -405,6 +423,6 @@ def enrich_regions(
     """
     gate = needs_region(F.col(zip_code), F.col(borough), F.col(longitude), F.col(latitude))
     x, y = point(F.when(gate, F.col(longitude)), F.when(gate, F.col(latitude)), strict)
-    cells = occupied_cells((rows if places is None else places).filter(gate), x, y, cell)
+    cells = occupied_cells(rows if places is None else places, x, y, cell)
     index = index_regions(cells, parse_regions(seed), cell)
     return fill_regions(with_region(rows, index, key, x, y, gate, multi, budget), zip_code, borough)

@@ -42,7 +42,7 @@ def test_containment_and_distance_on_a_lattice(spark):
     rows = spots.crossJoin(shapes).select(
         "x", "y", "w",
         g.contains(F.col("e"), F.col("x"), F.col("y")).alias("inside"),
-        g.distance(F.col("e"), F.col("x"), F.col("y"), g.shrink(F.col("y"))).alias("far"),
+        g.distance(g.segments(F.col("e")), F.col("x"), F.col("y"), g.shrink(F.col("y"))).alias("far"),
     ).collect()
     assert any(r.inside for r in rows)
     for r in rows:
@@ -55,11 +55,11 @@ def test_boundary_is_outside_at_distance_zero(spark):
     df = spark.createDataFrame([(-74.5, 40.25), (-74.25, 40.0), (-74.5, 40.0), (-74.4, 40.15)], "x double, y double")
     df = df.withColumn("e", g.wkt_edges(F.lit(HOLED)))
     x, y = F.col("x"), F.col("y")
-    for r in df.select(g.contains(F.col("e"), x, y), g.distance(F.col("e"), x, y, g.shrink(y))).collect():
+    for r in df.select(g.contains(F.col("e"), x, y), g.distance(g.segments(F.col("e")), x, y, g.shrink(y))).collect():
         assert tuple(r) == (False, 0.0)
 
 
 def test_degenerate_edge(spark):
     df = spark.range(1).select(g.wkt_edges(F.lit("POLYGON((0 0, 0 0, 1 0, 1 1, 0 0))")).alias("e"))
-    far = df.select(g.distance(F.col("e"), F.lit(-3.0), F.lit(0.0), F.lit(1.0))).collect()[0][0]
+    far = df.select(g.distance(g.segments(F.col("e")), F.lit(-3.0), F.lit(0.0), F.lit(1.0))).collect()[0][0]
     assert far == 3.0

@@ -340,10 +340,10 @@ def wkt_edges_(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def cross_regions(spark: SparkSession, sf: str) -> DataFrame:
     x, y = rg.point(col("longitude"), col("latitude"))
-    cells = rg.occupied_cells(_located(spark, sf), x, y)
+    cells = rg.occupied_cells(_located(spark, sf), x, y, 1 / 64)
     shapes = rg.parse_regions(feeds.regions(spark, sf))
     names = shapes.select("region_id", "derived_zip", "derived_borough", *rg.BOX)
-    return rg.candidate_regions(cells, shapes).join(names, "region_id").drop("region_id")
+    return rg.candidate_regions(cells, shapes, 1 / 64).join(names, "region_id").drop("region_id")
 
 
 @query
