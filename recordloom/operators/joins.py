@@ -63,6 +63,7 @@ def sized_join(
     size: int | None = None,
     budget: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    count_keys_in: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on pairs of (left expression, right expression), without shuffling ``left`` if it can.
 
@@ -70,10 +71,12 @@ def sized_join(
     shuffle in which hot left keys are split over salts, each split meeting its own
     copy of the matching right rows, and rows with a NULL key are spread out. No row
     is dropped either way. ``spread`` names left columns that vary within a hot key
-    (default: all). ``left`` and ``right`` must have no column name in common.
+    (default: all). ``count_keys_in`` may give a cheaper frame with the left keys to look
+    for hot ones in. ``left`` and ``right`` must have no column name in common.
     """
     keys = [f"_k{i}" for i in range(len(on))]
-    keyed_left = left.withColumns({k: l for k, (l, _) in zip(keys, on)})
+    left_keys = {k: expr for k, (expr, _) in zip(keys, on)}
+    keyed_left = left.withColumns(left_keys)
     keyed_right = right.withColumns({f"{k}r": r for k, (_, r) in zip(keys, on)})
     match = [F.col(k) == F.col(f"{k}r") for k in keys]
     helpers = [*keys, *[f"{k}r" for k in keys], "_splits", "_salt", "_saltr"]
@@ -81,7 +84,8 @@ def sized_join(
     if (measure(right)[0] if size is None else size) <= budget:
         return keyed_left.join(F.broadcast(keyed_right), reduce(and_, match), how).drop(*helpers)
 
-    hot = _hot_keys(keyed_left, keys, rows_per_task, budget)
+    counted = left if count_keys_in is None else count_keys_in
+    hot = _hot_keys(counted.withColumns(left_keys), keys, rows_per_task, budget)
     row_hash = F.xxhash64(*(spread or _hashable(left)))
     splits = F.coalesce(F.col("_splits"), F.lit(1).cast("bigint"))
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])

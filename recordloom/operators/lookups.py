@@ -78,8 +78,9 @@ def look_up(
     All dimensions are measured in one job. Those within the budget are broadcast in
     the same stage as the scan of the feed, so a star of small dimensions shuffles nothing.
     """
+    given = feed
     narrow = [lk.dim.select(*[F.col(c).alias(f"_dim_{c}") for c in lk.dim.columns]) for lk in lookups]
     for lk, dim, size in zip(lookups, narrow, measure(*narrow)):
-        joined = sized_join(feed, dim, lk.on, "left", spread, size, budget, rows_per_task)
+        joined = sized_join(feed, dim, lk.on, "left", spread, size, budget, rows_per_task, given)
         feed = joined.select(*feed.columns, member(lk.key).alias(lk.key))
     return feed

@@ -57,7 +57,7 @@ class RegionIndex:
 
     cell: float
     inside: DataFrame
-    near: DataFrame
+    near: DataFrame | None
 
 
 def _top_level(cell: float) -> int:
@@ -270,10 +270,12 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     return grouped.join(per_unit, ["size", "ux", "uy"]).select(*CELL_KEY, "derived_zip", "derived_borough", "segments")
 
 
-def index_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL) -> RegionIndex:
-    """Build both candidate tables for the occupied cells."""
+def index_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL, with_near: bool = True) -> RegionIndex:
+    """Build the candidate tables for the occupied cells; ``near`` is only needed to look for the nearest."""
     cells = materialize(cells, "cells")
     inside = materialize(_inside(cells, regions, cell), "inside")
+    if not with_near:
+        return RegionIndex(cell, inside, None)
     covered = inside.filter("whole").select(*CELL_KEY).distinct()
     near = materialize(_near(cells.join(covered, CELL_KEY, "left_anti"), regions, cell), "near")
     return RegionIndex(cell, inside, near)
@@ -390,7 +392,10 @@ def with_region(
         return _with_region_in_row(placed, index, multi).select(*columns)
     points = as_points(placed.filter("_x is not null and _y is not null"), key, F.col("_x"), F.col("_y"), index.cell)
     matches = region_of(points, index, key, multi, spread=[key], budget=budget, rows_per_task=rows_per_task)
-    return rows.join(matches, key, "left").select(*columns)
+    matches = materialize(matches, "matches")
+    matches = matches.withColumnRenamed(key, "_matched")
+    back = [(F.col(key), F.col("_matched"))]
+    return sized_join(rows, matches, back, "left", budget=budget, rows_per_task=rows_per_task).select(*columns)
 
 
 def fill_regions(rows: DataFrame, zip_code: str = "zip_code", borough: str = "borough") -> DataFrame:

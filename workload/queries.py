@@ -323,11 +323,11 @@ def _located(spark: SparkSession, sf: str) -> DataFrame:
     return spots.dropna(subset=["longitude", "latitude"])
 
 
-def _points(spark: SparkSession, sf: str) -> tuple[DataFrame, rg.RegionIndex]:
+def _points(spark: SparkSession, sf: str, with_near: bool = True) -> tuple[DataFrame, rg.RegionIndex]:
     located = _located(spark, sf)
     x, y = rg.point(col("longitude"), col("latitude"))
     shapes = rg.parse_regions(feeds.regions(spark, sf))
-    index = rg.index_regions(rg.occupied_cells(located, x, y), shapes)
+    index = rg.index_regions(rg.occupied_cells(located, x, y), shapes, with_near=with_near)
     return rg.as_points(located, "source_row", x, y, rg.CELL), index
 
 
@@ -348,13 +348,13 @@ def cross_regions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def point_in_region(spark: SparkSession, sf: str) -> DataFrame:
-    points, index = _points(spark, sf)
+    points, index = _points(spark, sf, with_near=False)
     return rg.containing(points, index, "source_row")
 
 
 @query
 def anti_unmatched(spark: SparkSession, sf: str) -> DataFrame:
-    points, index = _points(spark, sf)
+    points, index = _points(spark, sf, with_near=False)
     return rg.without_match(points, rg.containing(points, index, "source_row"), "source_row").select("source_row")
 
 
