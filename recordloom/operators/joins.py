@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.scratch import materialize
+from ..sources.scratch import byte_count, materialize, materialize_measured
 
 # A right side is broadcast up to this many bytes of text; every executor holds one copy.
 BROADCAST_BYTES = 64 << 20
@@ -22,17 +22,12 @@ ROWS_PER_TASK = 5_000_000
 NULL_SALTS = 1 << 20
 
 
-def _byte_count(df: DataFrame) -> Column:
-    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
-    return F.coalesce(F.sum(reduce(Column.__add__, texts, F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"))
-
-
 def measure(*frames: DataFrame) -> list[int]:
     """The size of each frame in bytes of text, exactly counted in one job.
 
     Meant for written tables, where it costs a scan. Returns one number per frame.
     """
-    sums = [df.agg(_byte_count(df).alias("n")).withColumn("i", F.lit(i)) for i, df in enumerate(frames)]
+    sums = [df.agg(byte_count(df).alias("n")).withColumn("i", F.lit(i)) for i, df in enumerate(frames)]
     return [row.n for row in sorted(reduce(DataFrame.union, sums).collect(), key=lambda row: row.i)]
 
 
@@ -46,11 +41,12 @@ def _hot_keys(left: DataFrame, keys: list[str], rows_per_task: int, budget: int)
     At most rows(left) / rows_per_task keys qualify; the bar is raised until they fit ``budget``.
     """
     counts = left.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = materialize(counts.filter(F.col("_rows") > rows_per_task), "hot_keys")
+    hot, size = materialize_measured(counts.filter(F.col("_rows") > rows_per_task), "hot_keys")
     bar = rows_per_task
-    while measure(hot)[0] > budget:
+    while size > budget:
         bar *= 4
         hot = hot.filter(F.col("_rows") > bar)
+        size = measure(hot)[0]
     return hot.select(*keys, F.ceil(F.col("_rows") / bar).cast("bigint").alias("_splits"))
 
 

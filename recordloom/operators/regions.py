@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_borough, fill_zip
 from ..functions.geometry import bounds, contains, distance, segments, shrink, wkt_edges
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, materialize_measured
 from .filters import needs_region
-from .joins import BROADCAST_BYTES, ROWS_PER_TASK, measure, sized_join
+from .joins import BROADCAST_BYTES, ROWS_PER_TASK, sized_join
 from .projection import replace_columns
 
 # Grid cell in degrees, a power of two so that cell borders are exact: 0.9 km from north to south,
@@ -53,11 +53,13 @@ BOX = ["xmin", "xmax", "ymin", "ymax"]
 
 @dataclass(frozen=True)
 class RegionIndex:
-    """Candidate regions per grid cell, as written tables."""
+    """Candidate regions per grid cell, as written tables of known size."""
 
     cell: float
     inside: DataFrame
-    near: DataFrame | None
+    inside_bytes: int
+    near: DataFrame | None = None
+    near_bytes: int = 0
 
 
 def _top_level(cell: float) -> int:
@@ -273,12 +275,13 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
 def index_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL, with_near: bool = True) -> RegionIndex:
     """Build the candidate tables for the occupied cells; ``near`` is only needed to look for the nearest."""
     cells = materialize(cells, "cells")
-    inside = materialize(_inside(cells, regions, cell), "inside")
+    inside, inside_bytes = materialize_measured(_inside(cells, regions, cell), "inside")
     if not with_near:
-        return RegionIndex(cell, inside, None)
+        return RegionIndex(cell, inside, inside_bytes)
     covered = inside.filter("whole").select(*CELL_KEY).distinct()
-    near = materialize(_near(cells.join(covered, CELL_KEY, "left_anti"), regions, cell), "near")
-    return RegionIndex(cell, inside, near)
+    open_cells = cells.join(covered, CELL_KEY, "left_anti")
+    near, near_bytes = materialize_measured(_near(open_cells, regions, cell), "near")
+    return RegionIndex(cell, inside, inside_bytes, near, near_bytes)
 
 
 # ---- operators on points ----------------------------------------------------------------------
@@ -301,7 +304,7 @@ def as_points(rows: DataFrame, key: str, x: Column, y: Column, cell: float) -> D
 
 def containing(points: DataFrame, index: RegionIndex, key: str, multi: str = "all", **join) -> DataFrame:
     """(key, derived_zip, derived_borough) for every region that contains the point."""
-    paired = sized_join(points, _at(index.inside), _by_cell(), "inner", **join)
+    paired = sized_join(points, _at(index.inside), _by_cell(), "inner", size=index.inside_bytes, **join)
     hit = paired.filter(F.col("whole") | contains(F.col("edges"), F.col("x"), F.col("y")))
     hit = hit.select(key, "derived_zip", "derived_borough")
     return hit if multi == "all" else _first_per(hit, key, "derived_zip", "derived_borough")
@@ -314,7 +317,7 @@ def without_match(points: DataFrame, matches: DataFrame, key: str) -> DataFrame:
 
 def nearest(points: DataFrame, index: RegionIndex, key: str, **join) -> DataFrame:
     """(key, derived_zip, derived_borough) of the nearest region; ties go to the lower code, then borough."""
-    paired = sized_join(points, _at(index.near), _by_cell(), "inner", **join)
+    paired = sized_join(points, _at(index.near), _by_cell(), "inner", size=index.near_bytes, **join)
     far = distance(F.col("segments"), F.col("x"), F.col("y"), F.col("shrunk"))
     ranked = paired.select(key, "derived_zip", "derived_borough", far.alias("_far"))
     return _first_per(ranked, key, "_far", "derived_zip", "derived_borough").drop("_far")
@@ -386,7 +389,7 @@ def with_region(
     columns = [*rows.columns, "derived_zip", "derived_borough"]
     wanted = need & F.col(key).isNotNull()
     placed = rows.withColumns({"_x": F.when(wanted, x), "_y": F.when(wanted, y)})
-    if sum(measure(index.inside, index.near)) <= budget:
+    if index.inside_bytes + index.near_bytes <= budget:
         cells = cell_columns(F.col("_x"), F.col("_y"), index.cell)
         placed = placed.withColumns({f"_{n}": c for n, c in cells.items()} | {"_shrunk": shrink(F.col("_y"))})
         return _with_region_in_row(placed, index, multi).select(*columns)

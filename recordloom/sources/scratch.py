@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -43,3 +45,16 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def byte_count(df: DataFrame) -> Column:
+    """An aggregate: the size of all rows as text, at least as large as their values are in memory."""
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    return F.coalesce(F.sum(reduce(Column.__add__, texts, F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"))
+
+
+def materialize_measured(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """``materialize`` and the size in bytes, counted while the table is written."""
+    seen = Observation()
+    table = materialize(df.observe(seen, byte_count(df).alias("bytes")), name)
+    return table, seen.get["bytes"]

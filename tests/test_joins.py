@@ -6,7 +6,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from recordloom.operators.joins import measure, sized_join
-from recordloom.sources import materialize
+from recordloom.sources import materialize, materialize_measured
 
 
 def _sides(spark):
@@ -56,3 +56,10 @@ def test_hot_key_is_spread(spark):
 def test_measure_counts_every_frame(spark):
     text = spark.createDataFrame([("abcd",), (None,)], "s string")
     assert measure(text, text.limit(0), spark.range(3)) == [36, 0, 51]
+
+
+def test_size_is_counted_while_writing(spark):
+    df = spark.createDataFrame([("abcd", [1.5, 2.5]), (None, None)], "s string, a array<double>").repartition(2)
+    table, size = materialize_measured(df)
+    assert table.count() == 2 and size == measure(table)[0] > 0
+    assert materialize_measured(df.limit(0))[1] == 0
