@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, lines, secrets
+from . import decontaminate, html, licenses, lines, pieces, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": licenses.query,
+    "op2_quality_classifier": quality.query,
+    "op3_sentencepiece": pieces.query,
     "op6_line_dedup": lines.query,
     "op7_decontaminate": decontaminate.query,
+    "op8_html_extraction": html.query,
     "op9_secret_scan": secrets.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLE: dict[str, str] = {
