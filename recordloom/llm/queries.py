@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, licenses, lines, pieces, quality, secrets, toxicity
+from . import decontaminate, html, innerproduct, jaccard, licenses, lines, pieces, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,8 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": licenses.query,
     "op2_quality_classifier": quality.query,
     "op3_sentencepiece": pieces.query,
+    "op4_topk_search": innerproduct.query,
+    "op5_jaccard_join": jaccard.query,
     "op6_line_dedup": lines.query,
     "op7_decontaminate": decontaminate.query,
     "op8_html_extraction": html.query,
@@ -23,6 +25,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op1_license_scan": licenses.SQL,
+    "op4_topk_search": innerproduct.SQL,
     "op6_line_dedup": lines.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op9_secret_scan": secrets.SQL,
