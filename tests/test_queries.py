@@ -6,7 +6,7 @@ from compare import connect, differences
 from conftest import plan_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = driver.QUERIES, driver.ORACLE
 
 
 @pytest.fixture(scope="module")
