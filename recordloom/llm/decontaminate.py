@@ -47,7 +47,9 @@ def _windows(df: DataFrame, n: int, keep: list[str]) -> DataFrame:
     """A row for each window of ``n`` words: ``keep``, n, pos (from 0) and hash."""
     df, name = _window_hashes(df, n)
     usable = F.slice(F.col(name), 1, F.greatest(F.size("words") - n + 1, F.lit(0)))
-    return df.select(*keep, F.lit(n).alias("n"), F.posexplode(usable).alias("pos", "hash"))
+    # The outer form keeps Spark from testing the array's size first, which would compute all of it again.
+    rows = df.select(*keep, F.lit(n).alias("n"), F.posexplode_outer(usable).alias("pos", "hash"))
+    return rows.filter("pos IS NOT NULL")
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = WINDOW_WORDS, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -82,7 +84,7 @@ def contaminated_spans(docs: DataFrame, windows: DataFrame) -> DataFrame:
     suspects = sized_join(tokens, found, [(F.col(k), F.col(f"f{k}")) for k in ROW], "inner")
     gram = lambda h: F.array_join(F.slice("words", h.pos + 1, h.n), " ")
     rows = suspects.dropDuplicates(ROW).select(
-        *ROW, F.explode(F.transform("hits", lambda h: F.struct(h.pos, h.n, h.hash, gram(h).alias("gram")))).alias("h")
+        *ROW, F.explode_outer(F.transform("hits", lambda h: F.struct(h.pos, h.n, h.hash, gram(h).alias("gram")))).alias("h")
     ).select(*ROW, "h.*")
     exact = windows.select(F.col("hash").alias("w_hash"), F.col("gram").alias("w_gram"), "items")
     sure = sized_join(rows, exact, [(F.col("hash"), F.col("w_hash")), (F.col("gram"), F.col("w_gram"))], "inner")

@@ -66,7 +66,7 @@ def license_scores(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> D
     known = _templates(spark, templates)
     vocabulary = sorted({w for row in known.collect() for w in row.words})  # of the templates, not of the data
     held = F.array_intersect(F.array_distinct(words(F.col("text"))), F.array(*map(F.lit, vocabulary)))
-    seen = files.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("term"))  # "" stands for every file
+    seen = files.select(F.explode_outer(F.concat(held, F.array(F.lit("")))).alias("term"))  # "" stands for every file
     counts = {row.term: row.n for row in seen.groupBy("term").agg(F.count("*").alias("n")).collect()}
     n = counts.get("", 0)
     frequencies = spark.createDataFrame([(w, counts.get(w, 0)) for w in vocabulary], "term string, df long")
@@ -79,7 +79,7 @@ def license_scores(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> D
         lambda s: s.unit.rlike(MENTION),
     )
     units = F.concat(F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit"))), lines)
-    units = mentioning.select("k1", "k2", F.inline(units)).distinct().select("k1", "k2", "line", words(F.col("unit")).alias("words"))
+    units = mentioning.select("k1", "k2", F.inline_outer(units)).distinct().select("k1", "k2", "line", words(F.col("unit")).alias("words"))
     keys = ["k1", "k2", "line"]
     vectors = _vectors(units, keys, idf, unseen)
     patterns = _vectors(known, ["template"], idf, unseen)

@@ -111,7 +111,8 @@ def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
     """(trigram, k1, k2): the inverted index of ``keyed`` documents for the given trigrams."""
     low = docs.select(*ROW, F.lower("text").alias("low"))
     held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams]))
-    return low.select(*ROW, F.explode(held).alias("trigram"))
+    # The outer form keeps Spark from testing the array's size first, which would compute all of it again.
+    return low.select(*ROW, F.explode_outer(held).alias("trigram")).filter("trigram IS NOT NULL")
 
 
 def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
