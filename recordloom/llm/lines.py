@@ -51,8 +51,8 @@ def _with_chunks(df: DataFrame, divisor: int) -> DataFrame:
 def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """Chunks of ``keyed`` documents to remove: k1, k2 and removed (chunk numbers from 0), written once."""
     rows = _with_chunks(docs, divisor)
-    multi = F.instr("chunk", "\n") > 0
-    places = rows.select(*ROW, F.posexplode("chunks").alias("no", "chunk")).filter(multi)
+    # The outer form keeps Spark from testing the array's size first, which would compute all of it again and again.
+    places = rows.select(*ROW, F.posexplode_outer("chunks").alias("no", "chunk")).filter(F.instr("chunk", "\n") > 0)
     places = materialize(places.select(*ROW, "no", F.xxhash64("chunk").alias("hash")), "chunk_hashes").distinct()
     lists = bundles(places, ["hash"], [*ROW, "no"], n=F.count("*"))
     often = lists.groupBy("hash").agg(F.sum("n").alias("total")).filter("total > 1")
