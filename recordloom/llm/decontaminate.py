@@ -135,7 +135,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS,
         lambda w, i: F.concat(F.when(F.array_contains("hit", i), F.lit("")).otherwise(w), F.get(gaps, i + 1)),
     )
     rest = F.when(F.col("hit").isNull(), text).otherwise(F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, "")))
-    return cut.select(*[rest.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    # A step of its own, so that input columns named like those used here cannot be meant.
+    cut = cut.select("row", rest.alias("_text"))
+    return cut.select(*[F.col("_text").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -63,7 +63,7 @@ class Shingler:
         self.seeds = _mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
     def _word(self, word: str) -> int:
-        if len(self.known) > 300_000:
+        if len(self.known) > 150_000:
             self.known.clear()
         value = self.known[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
         return value

@@ -49,7 +49,7 @@ def _with_chunks(df: DataFrame, divisor: int) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """Chunks of ``keyed`` documents to remove: k1, k2 and removed (chunk numbers from 0), written once."""
+    """Chunks of ``keyed`` documents to remove: k1, k2, removed (chunk numbers from 0) and n_chunks, written once."""
     rows = _with_chunks(docs, divisor)
     # The outer form keeps Spark from testing the array's size first, which would compute all of it again and again.
     places = rows.select(*ROW, F.posexplode_outer("chunks").alias("no", "chunk")).filter(F.instr("chunk", "\n") > 0)
@@ -62,34 +62,46 @@ def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     on = [(F.col(k), F.col(f"s{k}")) for k in ROW]
     texts = sized_join(rows, suspects, on, "inner").select(
         "doc_id", *ROW, "chunks", F.explode("suspects").alias("s")
-    ).select("doc_id", *ROW, "s.*", F.get("chunks", F.col("s.no")).alias("chunk")).distinct()
+    ).select("doc_id", *ROW, F.size("chunks").alias("n_chunks"), "s.*", F.get("chunks", F.col("s.no")).alias("chunk")).distinct()
     place = ["doc_id", *ROW, "no"]
-    copies = bundles(texts, ["hash", "chunk"], place, size=F.col("total"), n=F.count("*"), first=F.min(F.struct(*place)))
+    copies = bundles(texts, ["hash", "chunk"], [*place, "n_chunks"], size=F.col("total"), n=F.count("*"), first=F.min(F.struct(*place)))
     copies = materialize(copies, "chunk_copies")
     firsts = copies.groupBy("hash", "chunk").agg(F.sum("n").alias("n"), F.min("first").alias("origin")).filter("n > 1")
     again = copies.drop("n", "first").join(firsts.drop("n"), ["hash", "chunk"]).select("origin", F.explode("rows").alias("at"))
-    gone = again.filter(F.col("at") != F.col("origin")).select("at.k1", "at.k2", "at.no")
-    return materialize(gone.groupBy(*ROW).agg(F.collect_list("no").alias("removed")), "removed_chunks")
+    later = F.struct(*[F.col(f"at.{c}") for c in place]) != F.col("origin")
+    gone = again.filter(later).select("at.k1", "at.k2", "at.no", "at.n_chunks").groupBy(*ROW)
+    return materialize(gone.agg(F.collect_list("no").alias("removed"), F.max("n_chunks").alias("n_chunks")), "removed_chunks")
 
 
-def drop_repeated_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, divisor: int = DIVISOR, drop_emptied: bool = False) -> DataFrame:
     """Every input row and column, ``text`` without the repeated chunks, and two counts.
 
+    With ``drop_emptied`` the rows that lose all of their text go.
+
     Adds ``chunks_removed`` and ``lines_removed``; an input column of such a name is replaced.
     """
     rows = whole_rows(docs).withColumn("text", F.coalesce("row.text", F.lit("")))
     gone = repeated_chunks(keyed(docs), divisor).withColumnsRenamed({k: f"g{k}" for k in ROW})
     joined = sized_join(rows, gone, [(F.col(k), F.col(f"g{k}")) for k in ROW], "left")
+    if drop_emptied:
+        joined = joined.filter("removed IS NULL OR size(removed) < n_chunks")
     joined = _with_chunks(joined, divisor)
     kept = F.array_join(F.filter("chunks", lambda c, i: ~F.array_contains("removed", i)), "\n")
     text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(kept)
     cut = F.filter("chunks", lambda c, i: F.array_contains("removed", i))
     lines = F.aggregate(cut, F.lit(0), lambda a, c: a + F.size(F.split(c, "\n", -1)))
-    added = ["chunks_removed", "lines_removed"]
-    return joined.select(
-        *[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in added],
-        F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("bigint").alias(added[0]),
-        F.when(F.col("removed").isNull(), 0).otherwise(lines).cast("bigint").alias(added[1]),
+    none = F.col("removed").isNull()
+    # A step of its own, so that input columns named like those used here cannot be meant.
+    done = joined.select(
+        "row",
+        text.alias("_text"),
+        F.when(none, 0).otherwise(F.size("removed")).cast("bigint").alias("_chunks"),
+        F.when(none, 0).otherwise(lines).cast("bigint").alias("_lines"),
+    )
+    added = {"chunks_removed": "_chunks", "lines_removed": "_lines"}
+    return done.select(
+        *[F.col("_text").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in added],
+        *[F.col(own).alias(name) for name, own in added.items()],
     )
 
 

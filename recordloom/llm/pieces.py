@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-CACHED = 200_000  # distinct stretches in either of the two generations a task remembers
+CACHED = 100_000  # distinct stretches in either of the two generations a task remembers
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 ADDED = {
