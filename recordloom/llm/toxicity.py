@@ -49,9 +49,9 @@ def language(words: list[str]) -> int:
 
 
 def buckets(word: str) -> list[int]:
-    """Where the embeddings of a word and of its beginnings stand."""
-    keys = [word] + [f"{word[:n]}~" for n in PREFIXES if len(word) >= n]
-    return [zlib.crc32(k.encode()) % (BUCKETS - 1) + 1 for k in keys]
+    """Where the embeddings of a word and of its beginnings stand; 0, which is always nothing, for a beginning it hasn't."""
+    keys = [word] + [f"{word[:n]}~" if len(word) >= n else "" for n in PREFIXES]
+    return [zlib.crc32(k.encode()) % (BUCKETS - 1) + 1 if k else 0 for k in keys]
 
 
 @dataclass
@@ -72,18 +72,17 @@ class Network:
 
     def vectors(self, words: list[str]) -> np.ndarray:
         known = self.known
-        if len(known) > KNOWN_WORDS:
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        if len(known) + len(new) > KNOWN_WORDS:
             known.clear()
-        rows = []
-        for w in words:
-            i = known.get(w)
-            if i is None:
-                i = known[w] = len(known)
-                if i >= len(self.table):
-                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                self.table[i] = self.embedding[buckets(w)].sum(0)
-            rows.append(i)
-        return self.table[rows]
+            new = list(dict.fromkeys(words))
+        if new:
+            start = len(known)
+            while start + len(new) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[start : start + len(new)] = self.embedding[[buckets(w) for w in new]].sum(1)
+            known.update(zip(new, range(start, start + len(new))))
+        return self.table[[known[w] for w in words]]
 
     def pooled(self, x: np.ndarray) -> np.ndarray:
         """The greatest value of every filter over the words ``x``."""
@@ -119,8 +118,7 @@ def fit(texts: list[str], toxic: np.ndarray, epochs: int = 6, seed: int = 7) ->
     docs = [np.array([known.setdefault(w, len(known)) for w in find_words(t.lower())], np.int64) for t in texts]
     places = np.zeros((len(known), 1 + len(PREFIXES)), np.int64)  # 0 stands for no such beginning
     for word, i in known.items():
-        b = buckets(word)
-        places[i, : len(b)] = b
+        places[i] = buckets(word)
     network.embedding[0] = 0
     languages = np.array([language(find_words(t.lower())) for t in texts])
     calibrating = rng.random(len(texts)) < 0.2
