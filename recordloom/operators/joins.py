@@ -35,19 +35,14 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def _hot_keys(left: DataFrame, keys: list[str], rows_per_task: int, budget: int) -> DataFrame:
-    """Keys with more rows than one task should get, and into how many parts to split each.
+def _hot_keys(left: DataFrame, keys: list[str], rows_per_task: int) -> tuple[DataFrame, int]:
+    """Keys with more rows than one task should get, into how many parts to split each, and the list's size in bytes.
 
-    At most rows(left) / rows_per_task keys qualify; the bar is raised until they fit ``budget``.
+    At most rows(left) / rows_per_task keys qualify, and all of them are split.
     """
     counts = left.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_rows"))
     hot, size = materialize_measured(counts.filter(F.col("_rows") > rows_per_task), "hot_keys")
-    bar = rows_per_task
-    while size > budget:
-        bar *= 4
-        hot = hot.filter(F.col("_rows") > bar)
-        size = measure(hot)[0]
-    return hot.select(*keys, F.ceil(F.col("_rows") / bar).cast("bigint").alias("_splits"))
+    return hot.select(*keys, F.ceil(F.col("_rows") / rows_per_task).cast("bigint").alias("_splits")), size
 
 
 def sized_join(
@@ -81,14 +76,16 @@ def sized_join(
         return keyed_left.join(F.broadcast(keyed_right), reduce(and_, match), how).drop(*helpers)
 
     counted = left if count_keys_in is None else count_keys_in
-    hot = _hot_keys(counted.withColumns(left_keys), keys, rows_per_task, budget)
+    hot, hot_size = _hot_keys(counted.withColumns(left_keys), keys, rows_per_task)
+    # A list beyond the budget is joined by a shuffle.
+    listed = F.broadcast if hot_size <= budget else (lambda df: df)
     row_hash = F.xxhash64(*(spread or _hashable(left)))
     splits = F.coalesce(F.col("_splits"), F.lit(1).cast("bigint"))
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     salt = F.pmod(row_hash, F.when(no_key, F.lit(NULL_SALTS).cast("bigint")).otherwise(splits))
-    salted_left = keyed_left.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt)
+    salted_left = keyed_left.join(listed(hot), keys, "left").withColumn("_salt", salt)
     hot_right = hot.withColumnsRenamed({k: f"{k}r" for k in keys})
-    salted_right = keyed_right.join(F.broadcast(hot_right), [f"{k}r" for k in keys], "left").withColumn(
+    salted_right = keyed_right.join(listed(hot_right), [f"{k}r" for k in keys], "left").withColumn(
         "_saltr", F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1))
     )
     salted_right = salted_right.drop("_splits")

@@ -310,9 +310,10 @@ def containing(points: DataFrame, index: RegionIndex, key: str, multi: str = "al
     return hit if multi == "all" else _first_per(hit, key, "derived_zip", "derived_borough")
 
 
-def without_match(points: DataFrame, matches: DataFrame, key: str) -> DataFrame:
+def without_match(points: DataFrame, matches: DataFrame, key: str, **join) -> DataFrame:
     """Points whose key has no match."""
-    return points.join(matches.select(key), key, "left_anti")
+    found = matches.select(F.col(key).alias("_found"))
+    return sized_join(points, found, [(F.col(key), F.col("_found"))], "left_anti", **join)
 
 
 def nearest(points: DataFrame, index: RegionIndex, key: str, **join) -> DataFrame:
@@ -334,7 +335,7 @@ def region_of(points: DataFrame, index: RegionIndex, key: str, multi: str = "all
     The containing regions are written out, as both parts of the union read them.
     """
     exact = materialize(containing(points, index, key, multi, **join), "exact")
-    return exact.unionByName(nearest(without_match(points, exact, key), index, key, **join))
+    return exact.unionByName(nearest(without_match(points, exact, key, **join), index, key, **join))
 
 
 def _packed(table: DataFrame, name: str) -> DataFrame:
@@ -383,8 +384,9 @@ def with_region(
 
     A row inside several regions appears once per region (``multi="first"`` keeps the
     lowest code). While both candidate tables fit ``budget`` they are broadcast and the
-    rows never move; beyond it the matches are found by split shuffles and joined back
-    by ``key``, which must be unique among the rows in need.
+    rows never move. Beyond it the rows are written once, their distinct points are matched by
+    split shuffles, and the matches are joined back by coordinates. What a row gets depends
+    on its own point alone either way; rows with a NULL ``key`` get nothing.
     """
     columns = [*rows.columns, "derived_zip", "derived_borough"]
     wanted = need & F.col(key).isNotNull()
@@ -393,12 +395,15 @@ def with_region(
         cells = cell_columns(F.col("_x"), F.col("_y"), index.cell)
         placed = placed.withColumns({f"_{n}": c for n, c in cells.items()} | {"_shrunk": shrink(F.col("_y"))})
         return _with_region_in_row(placed, index, multi).select(*columns)
-    points = as_points(placed.filter("_x is not null and _y is not null"), key, F.col("_x"), F.col("_y"), index.cell)
-    matches = region_of(points, index, key, multi, spread=[key], budget=budget, rows_per_task=rows_per_task)
-    matches = materialize(matches, "matches")
-    matches = matches.withColumnRenamed(key, "_matched")
-    back = [(F.col(key), F.col("_matched"))]
-    return sized_join(rows, matches, back, "left", budget=budget, rows_per_task=rows_per_task).select(*columns)
+    placed = materialize(placed, "placed_rows")
+    spots = placed.filter("_x is not null and _y is not null").select("_x", "_y").distinct()
+    spots = spots.withColumn("_spot", F.struct("_x", "_y"))
+    points = materialize(as_points(spots, "_spot", F.col("_x"), F.col("_y"), index.cell), "points")
+    sizes = {"budget": budget, "rows_per_task": rows_per_task}
+    matches = materialize(region_of(points, index, "_spot", multi, spread=["_spot"], **sizes), "matches")
+    matches = matches.select(F.col("_spot._x").alias("_at_x"), F.col("_spot._y").alias("_at_y"), "derived_zip", "derived_borough")
+    back = [(F.col("_x"), F.col("_at_x")), (F.col("_y"), F.col("_at_y"))]
+    return sized_join(placed, matches, back, "left", **sizes).select(*columns)
 
 
 def fill_regions(rows: DataFrame, zip_code: str = "zip_code", borough: str = "borough") -> DataFrame:
@@ -431,6 +436,8 @@ def enrich_regions(
     """
     gate = needs_region(F.col(zip_code), F.col(borough), F.col(longitude), F.col(latitude))
     x, y = point(F.when(gate, F.col(longitude)), F.when(gate, F.col(latitude)), strict)
-    cells = occupied_cells(rows if places is None else places, x, y, cell)
+    # Rows of ``places`` that are not among ``rows`` may hold anything; those of ``rows`` are judged when they are matched.
+    cells = occupied_cells(rows, x, y, cell) if places is None else occupied_cells(places, *point(
+        F.when(gate, F.col(longitude)), F.when(gate, F.col(latitude)), strict=False), cell)
     index = index_regions(cells, parse_regions(seed), cell)
     return fill_regions(with_region(rows, index, key, x, y, gate, multi, budget), zip_code, borough)

@@ -38,7 +38,10 @@ _UNIQUE = {
     "crash_time": ("crash_time_key", "hour"),
     "vehicle": ("vehicle_type_key", "vehicle_type_desc"),
     "fact_requests": ("fact_illegal_parking_key",),
-    "fact_crashes": ("fact_mvc_key", "collision_id"),
+    # The keys of dimensions are declared unique here too, which contradicts the grain of a fact; see the relationships.
+    "fact_crashes": (
+        "fact_mvc_key", "collision_id", "date_key", "geo_key", "crash_time_key", "factor_key", "vehicle_type_key",
+    ),
 }
 _NOT_NULL = _UNIQUE | {
     "raw_crashes": ("collision_id",),
@@ -53,7 +56,7 @@ _PARENTS = {
         "date_key": "date", "geo_key": "geography", "complaint_key": "complaint", "agency_key": "agency",
         "channel_key": "channel", "status_key": "status",
     },
-    # Declared unique at the source, which contradicts the grain of a fact; checked as relationships.
+    # Not declared, but what is meant by declaring these keys unique.
     "fact_crashes": {
         "date_key": "date", "geo_key": "geography", "crash_time_key": "crash_time", "factor_key": "factor",
         "vehicle_type_key": "vehicle",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schemas import REGION_SEED
@@ -17,15 +18,21 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType = REGION_SEED) -> DataFrame:
-    """Scan a CSV seed with forced column types (text by default).
+    """Scan a CSV seed, taking the columns of ``schema`` by their names in the header and forcing their types.
 
-    Polygon text contains commas and may span lines, hence the quoting options.
+    Polygon text contains commas and may span lines, hence the quoting options, with which
+    each file is one task. A missing column or a row with too few or too many fields fails.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
+    found = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("mode", "FAILFAST")
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", True)
         .csv(path)
     )
+    missing = [f.name for f in schema if f.name not in found.columns]
+    if missing:
+        raise ValueError(f"the seed has no column {', '.join(missing)}")
+    return found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

@@ -123,6 +123,26 @@ def test_fill_rules(spark):
     assert Counter((r.collision_id, r.zip_code, r.borough) for r in split.collect()) == got
 
 
+def test_repeated_keys_get_their_own_points_on_both_sides_of_the_budget(spark):
+    seed = spark.createDataFrame([*FIXED, OVERLAP], SEED)
+    rows = _rows(spark).withColumn("collision_id", F.lit("same"))
+    got = [
+        Counter(map(tuple, rg.enrich_regions(rows, seed, "collision_id", budget=budget).collect()))
+        for budget in (rg.BROADCAST_BYTES, 0)
+    ]
+    assert got[0] == got[1] and sum(got[0].values()) == 11
+
+
+def test_only_surviving_rows_need_valid_coordinates(spark):
+    seed, rows = spark.createDataFrame(FIXED, SEED), _rows(spark)
+    bad = spark.createDataFrame([("1", None, None, -74.25, 91.0)], rows.schema)
+    for budget in (rg.BROADCAST_BYTES, 0):
+        ok = rg.enrich_regions(rows, seed, "collision_id", places=rows.union(bad), budget=budget)
+        assert ok.count() == rows.count()
+        with pytest.raises(PySparkException):
+            rg.enrich_regions(rows.union(bad), seed, "collision_id", places=rows.union(bad), budget=budget).collect()
+
+
 def test_rows_do_not_move(spark):
     plan = plan_of(rg.enrich_regions(_rows(spark), spark.createDataFrame(FIXED, SEED), "collision_id"))
     assert plan.count("BroadcastHashJoin") == 2

@@ -27,6 +27,17 @@ def test_seed_stays_text_with_quotes_and_line_breaks(spark, tmp_path):
     assert rows[0].geom_wkt == "POLYGON((0 0, 1 0,\n1 1, 0 0))" and rows[1].borough == 'The "old" town'
 
 
+def test_seed_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("borough,zip_code,geom_wkt\nBronx,10451,x\n")
+    assert read_seed(spark, str(tmp_path / "a.csv")).first().asDict() == {"zip_code": "10451", "borough": "Bronx", "geom_wkt": "x"}
+    (tmp_path / "b.csv").write_text("zip_code,geom_wkt\n10451,x\n")
+    with pytest.raises(ValueError, match="borough"):
+        read_seed(spark, str(tmp_path / "b.csv"))
+    (tmp_path / "c.csv").write_text("zip_code,borough,geom_wkt\n10451,Bronx\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_seed(spark, str(tmp_path / "c.csv")).collect()
+
+
 def test_raw_schemas(spark, tmp_path):
     assert (len(REQUESTS), len(CRASHES)) == (33, 29)
     spark.createDataFrame([("007", dt.datetime(2024, 1, 1))], "unique_key string, created_date timestamp").write.parquet(str(tmp_path / "r"))

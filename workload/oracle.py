@@ -8,10 +8,44 @@ from __future__ import annotations
 
 import re
 
-from recordloom.plans.checks import DECLARED
-
 from .feeds import CRASHES, REGIONS, REQUESTS
 
+# The declared checks, one line per table and kind.
+CHECKS = """
+raw_requests unique unique_key
+raw_requests not_null unique_key
+raw_crashes not_null collision_id
+stg_requests unique complaint_id
+stg_requests not_null complaint_id created_date
+stg_crashes unique collision_id
+stg_crashes not_null collision_id
+date unique date_key full_date
+date not_null date_key full_date
+geography unique geo_key
+geography not_null geo_key
+agency unique agency_key
+agency not_null agency_key
+channel unique channel_key
+channel not_null channel_key
+complaint unique complaint_key
+complaint not_null complaint_key
+status unique status_key status
+status not_null status_key status
+factor unique factor_key factor_desc
+factor not_null factor_key factor_desc
+crash_time unique crash_time_key hour
+crash_time not_null crash_time_key hour
+vehicle unique vehicle_type_key vehicle_type_desc
+vehicle not_null vehicle_type_key vehicle_type_desc
+fact_requests unique fact_illegal_parking_key
+fact_requests not_null fact_illegal_parking_key complaint_id date_key complaint_key complaint_count
+fact_requests relationships date_key=date geo_key=geography complaint_key=complaint agency_key=agency channel_key=channel status_key=status
+fact_requests accepted_values complaint_count=1
+fact_crashes unique fact_mvc_key collision_id date_key geo_key crash_time_key factor_key vehicle_type_key
+fact_crashes not_null fact_mvc_key collision_id date_key geo_key crash_time_key factor_key vehicle_type_key
+fact_crashes relationships date_key=date geo_key=geography crash_time_key=crash_time factor_key=factor vehicle_type_key=vehicle
+"""
+
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
@@ -21,7 +55,7 @@ def _token(c: str) -> str:
 
 def _zip(c: str) -> str:
     return (
-        f"CASE WHEN {_token(c)} IN ('NA', 'N/A') THEN NULL WHEN {_token(c)} = 'ANONYMOUS' THEN 'Anonymous' "
+        f"CASE WHEN {_token(c)} IN ('N/A', 'NA') THEN NULL WHEN {_token(c)} = 'ANONYMOUS' THEN 'Anonymous' "
         f"WHEN length({c}) IN (5, 9) OR regexp_full_match({c}, '[0-9]{{5}}-[0-9]{{4}}') THEN {c} END"
     )
 
@@ -38,7 +72,7 @@ def _borough(c: str, default: str = "NULL") -> str:
 
 def _key(*fields: str) -> str:
     parts = [f"coalesce(CAST({f} AS varchar), '_dbt_utils_surrogate_key_null_')" for f in fields]
-    return f"md5({' || chr(45) || '.join(parts)})"
+    return f"md5({" || '-' || ".join(parts)})"
 
 
 def _nonzero(c: str) -> str:
@@ -337,7 +371,11 @@ _PLAIN: dict[str, str] = {
         SELECT o_orderkey, count(*) AS n_rows FROM orders WHERE o_orderkey IS NOT NULL
           AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY 1""",
     "dq_accepted_values": "SELECT l_linenumber, count(*) AS n_rows FROM lineitem WHERE l_linenumber NOT IN (1, 2, 3) GROUP BY 1",
-    "dq_report": " UNION ALL ".join(_check(c.table, c.column, c.kind, c.parent, c.accepted) for c in DECLARED),
+    "dq_report": " UNION ALL ".join(
+        _check(table, column, kind, other if kind == "relationships" else None, (int(other),) if kind == "accepted_values" else ())
+        for table, kind, *columns in map(str.split, CHECKS.strip().splitlines())
+        for column, _, other in [c.partition("=") for c in columns]
+    ),
     "latest_order_holidays": f"""
         SELECT {_holiday('day')} AS is_holiday, count(*) AS n_orders, count(DISTINCT day) AS n_days
         FROM (SELECT CAST(o_orderdate AS date) AS day FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
