@@ -11,6 +11,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# What remains of a valid text once numbers and repetitions are taken out.
+_SHAPES = ("POLYGON((p))", "MULTIPOLYGON(((p)))", "POLYGONEMPTY", "MULTIPOLYGONEMPTY")
+_NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:E[-+]?\d+)?"
+
+
+def wkt_problem(wkt: Column) -> Column:
+    """Why a text is not a closed POLYGON or MULTIPOLYGON; NULL if it is one, is EMPTY or is NULL.
+
+    Parts are replaced step by step, each match being short: one pattern for a whole text of
+    thousands of vertices would exhaust the stack.
+    """
+    shape = F.regexp_replace(F.upper(wkt), rf"(?<![\d.]){_NUMBER}\s+{_NUMBER}", "p")
+    for pattern in (r"\s+", ",p", r",\(p\)", r",\(\(p\)\)"):
+        shape = F.regexp_replace(shape, pattern, "")
+    rings = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
+
+    def is_closed(ring: Column) -> Column:
+        vertices = F.split(ring, ",")
+        first, last = (F.split(F.btrim(F.element_at(vertices, i)), r"\s+") for i in (1, -1))
+        same = [F.get(first, F.lit(i)).try_cast("double") == F.get(last, F.lit(i)).try_cast("double") for i in (0, 1)]
+        return (F.size(vertices) >= 4) & same[0] & same[1]
+
+    return (
+        F.when(wkt.isNull(), F.lit(None).cast("string"))
+        .when(~shape.isin(*_SHAPES), "not the text of a polygon")
+        .when(~F.coalesce(F.forall(rings, is_closed), F.lit(False)), "a ring that is not closed")
+    )
+
+
 def wkt_edges(wkt: Column) -> Column:
     """Edges of a POLYGON or MULTIPOLYGON text: every ring, holes included."""
     rings = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))

@@ -9,9 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _sortable(df: DataFrame, used: Sequence[str]) -> list[str]:
-    unsortable = (T.MapType, T.VariantType)
-    return [f.name for f in df.schema if f.name not in used and not isinstance(f.dataType, unsortable)]
+def _sortable(value: Column, kind: T.DataType) -> Column:
+    """The value in a form that can be sorted: equal values, however a map orders its entries, stay equal."""
+    if isinstance(kind, T.MapType):
+        entries = F.transform(
+            F.map_entries(value), lambda e: F.struct(_sortable(e.key, kind.keyType), _sortable(e.value, kind.valueType))
+        )
+        return F.array_sort(entries)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: _sortable(e, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[_sortable(value.getField(f.name), f.dataType) for f in kind.fields]))
+    return F.to_json(value) if isinstance(kind, T.VariantType) else value
+
+
+def _needs_form(kind: T.DataType) -> bool:
+    text = kind.simpleString()
+    return "map<" in text or "variant" in text
 
 
 def keep_latest(
@@ -23,7 +37,9 @@ def keep_latest(
     one group. The ``rn = 1`` filter lets Spark limit every group before the shuffle,
     so a key that holds a third of all rows sends at most one row per map task.
     """
-    ties = _sortable(df, [key]) if tiebreak is None else tiebreak
-    order = [*latest, *[F.col(c).asc_nulls_last() for c in ties]]
+    names = [c for c in df.columns if c != key] if tiebreak is None else tiebreak
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    ties = [_sortable(F.col(c), kinds[c]) if c in kinds and _needs_form(kinds[c]) else F.col(c) for c in names]
+    order = [*latest, *[c.asc_nulls_last() for c in ties]]
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
     return ranked.filter("_rn = 1").drop("_rn")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..sources.scratch import byte_count, materialize, materialize_measured
 
-# A right side is broadcast up to this many bytes of text; every executor holds one copy.
+# Right sides are broadcast up to this many bytes; every executor holds one copy of them.
 BROADCAST_BYTES = 64 << 20
 
 # Beyond it, a left key with more rows than this is split over several tasks.
@@ -23,7 +23,7 @@ NULL_SALTS = 1 << 20
 
 
 def measure(*frames: DataFrame) -> list[int]:
-    """The size of each frame in bytes of text, exactly counted in one job.
+    """The size of each frame's rows in memory, counted over all rows in one job.
 
     Meant for written tables, where it costs a scan. Returns one number per frame.
     """

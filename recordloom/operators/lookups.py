@@ -66,6 +66,16 @@ def unknown_region(zip_code: Column, borough: Column) -> tuple[Match, Match]:
     return (known_zip(zip_code), member("zip_code")), (known_borough(borough, False), member("borough"))
 
 
+def _shared_budget(sizes: Sequence[int], budget: int) -> list[int]:
+    """The sizes, those beyond what the smaller ones leave of the budget raised above it."""
+    charged, taken = list(sizes), 0
+    for i in sorted(range(len(sizes)), key=sizes.__getitem__):
+        taken += sizes[i]
+        if taken > budget:
+            charged[i] = max(sizes[i], budget + 1)
+    return charged
+
+
 def look_up(
     feed: DataFrame,
     lookups: Sequence[Lookup],
@@ -75,12 +85,12 @@ def look_up(
 ) -> DataFrame:
     """Append the key of every lookup to ``feed``.
 
-    All dimensions are measured in one job. Those within the budget are broadcast in
-    the same stage as the scan of the feed, so a star of small dimensions shuffles nothing.
+    All dimensions are measured in one job. The smallest that fit the budget together are broadcast in
+    the same stage as the scan of the feed, so a star of small dimensions shuffles nothing; the others are shuffled.
     """
     given = feed
     narrow = [lk.dim.select(*[F.col(c).alias(f"_dim_{c}") for c in lk.dim.columns]) for lk in lookups]
-    for lk, dim, size in zip(lookups, narrow, measure(*narrow)):
+    for lk, dim, size in zip(lookups, narrow, _shared_budget(measure(*narrow), budget) if lookups else []):
         joined = sized_join(feed, dim, lk.on, "left", spread, size, budget, rows_per_task, given)
         feed = joined.select(*feed.columns, member(lk.key).alias(lk.key))
     return feed

@@ -28,11 +28,11 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Non-null values absent from the parent.
 
-    The child is counted per value before the join: what is shuffled is one row per
-    distinct value, however many rows share it.
+    Both sides are reduced to one row per distinct value before they are shuffled, however
+    many rows share it.
     """
     values = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_rows"))
-    known = parent.select(F.col(parent_column).alias("_known"))
+    known = parent.select(F.col(parent_column).alias("_known")).distinct()
     return values.join(known, F.col(column) == F.col("_known"), "left_anti")
 
 

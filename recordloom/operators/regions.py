@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_borough, fill_zip
-from ..functions.geometry import bounds, contains, distance, segments, shrink, wkt_edges
+from ..functions.geometry import bounds, contains, distance, segments, shrink, wkt_edges, wkt_problem
 from ..sources.scratch import materialize, materialize_measured
 from .filters import needs_region
 from .joins import BROADCAST_BYTES, ROWS_PER_TASK, sized_join
@@ -80,11 +80,24 @@ def point(longitude: Column, latitude: Column, strict: bool = True) -> tuple[Col
     return wrapped, F.when(F.abs(y) > 90.0, bad).otherwise(y)
 
 
-def parse_regions(seed: DataFrame, wkt: str = "geom_wkt") -> DataFrame:
+def unreadable_regions(seed: DataFrame, wkt: str = "geom_wkt") -> DataFrame:
+    """The rows whose text is no polygon, with the reason as ``problem``: what ``strict=False`` leaves out."""
+    return seed.withColumn("problem", wkt_problem(F.col(wkt))).filter("problem is not null")
+
+
+def parse_regions(seed: DataFrame, wkt: str = "geom_wkt", strict: bool = True) -> DataFrame:
     """Parse every polygon text once into edges and a bounding box, and give it a number.
 
+    A text that is no closed polygon fails the job, as the records in it would go to a neighbour;
+    ``strict=False`` leaves it out (see ``unreadable_regions``). NULL and EMPTY have no edges.
     Written out, so that the numbers stay the same for all readers.
     """
+    problem = wkt_problem(F.col(wkt))
+    if strict:
+        failed = F.raise_error(F.concat(F.lit("region text: "), problem)).cast("boolean")
+        seed = seed.filter(F.when(problem.isNull(), True).otherwise(failed))
+    else:
+        seed = seed.filter(problem.isNull())
     parsed = seed.select(
         F.monotonically_increasing_id().alias("region_id"),
         F.col("zip_code").alias("derived_zip"),
@@ -439,5 +452,5 @@ def enrich_regions(
     # Rows of ``places`` that are not among ``rows`` may hold anything; those of ``rows`` are judged when they are matched.
     cells = occupied_cells(rows, x, y, cell) if places is None else occupied_cells(places, *point(
         F.when(gate, F.col(longitude)), F.when(gate, F.col(latitude)), strict=False), cell)
-    index = index_regions(cells, parse_regions(seed), cell)
+    index = index_regions(cells, parse_regions(seed, strict=strict), cell)
     return fill_regions(with_region(rows, index, key, x, y, gate, multi, budget), zip_code, borough)

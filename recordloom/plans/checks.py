@@ -8,8 +8,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.quality import duplicates, missing_counts, orphans, unaccepted
+from ..operators.quality import duplicates, missing, orphans, unaccepted
+from ..sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -71,12 +73,30 @@ DECLARED: tuple[Check, ...] = (
 )
 
 
-def _report(table: str, column: str, kind: str, failing: DataFrame, measure) -> DataFrame:
+def _countable(df: DataFrame, column: str) -> bool:
+    """Whether equal values of the column have equal texts."""
+    return not isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType, T.ArrayType, T.StructType, T.MapType, T.VariantType))
+
+
+def _value_counts(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(table_name, column_name, value, n_rows) of all ``columns`` in one pass over the table, combined before the shuffle."""
+    values = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    stacked = df.select(F.explode(F.array(*values)).alias("v")).select(F.lit(table).alias("table_name"), "v.*")
+    return stacked.groupBy("table_name", "column_name", "value").agg(F.count("*").alias("n_rows"))
+
+
+def _failures(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The failures of one check on a column whose values cannot be counted as texts."""
+    df = tables[check.table]
+    failing, measure = {
+        "not_null": lambda: (missing(df, check.column), F.count("*")),
+        "unique": lambda: (duplicates(df, check.column), F.count("*")),
+        "relationships": lambda: (orphans(df, check.column, tables[check.parent], check.column), F.sum("n_rows")),
+        "accepted_values": lambda: (unaccepted(df, check.column, check.accepted), F.count("*")),
+    }[check.kind]()
     return failing.agg(F.coalesce(measure, F.lit(0)).cast("bigint").alias("failures")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(kind).alias("check_name"),
-        "failures",
+        F.lit(check.table).alias("table_name"), F.lit(check.column).alias("column_name"),
+        F.lit(check.kind).alias("check_name"), "failures",
     )
 
 
@@ -84,25 +104,58 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] = DECLAR
     """(table_name, column_name, check_name, failures), one row per check on a given table.
 
     Failures count values for ``unique`` and ``accepted_values``, rows for the other two.
-    All not-null checks of a table share one pass over it.
+    Every table is read once: the values of its checked columns are counted together, and all checks
+    follow from these counts, which are written out. Columns of types without a text of their own
+    (floating, nested) and keys whose type differs from the parent's are checked one by one.
     """
-    reports: list[DataFrame] = []
-    for table, df in tables.items():
-        mine = [k for k in checks if k.table == table]
-        required = [k.column for k in mine if k.kind == "not_null"]
-        if required:
-            counts = missing_counts(df, required)
-            reports.append(
-                counts.select(
-                    F.lit(table).alias("table_name"), "column_name", F.lit("not_null").alias("check_name"), "failures"
-                )
-            )
-        for k in mine:
-            if k.kind == "unique":
-                reports.append(_report(table, k.column, k.kind, duplicates(df, k.column), F.count("*")))
-            elif k.kind == "relationships":
-                lost = orphans(df, k.column, tables[k.parent], k.column)
-                reports.append(_report(table, k.column, k.kind, lost, F.sum("n_rows")))
-            elif k.kind == "accepted_values":
-                reports.append(_report(table, k.column, k.kind, unaccepted(df, k.column, k.accepted), F.count("*")))
+    mine = [k for k in checks if k.table in tables]
+
+    def stacks(k: Check) -> bool:
+        if not _countable(tables[k.table], k.column):
+            return False
+        return k.kind != "relationships" or (
+            tables[k.parent].schema[k.column].dataType == tables[k.table].schema[k.column].dataType
+        )
+
+    together, alone = [k for k in mine if stacks(k)], [k for k in mine if not stacks(k)]
+    reports = [_failures(k, tables) for k in alone]
+    if together:
+        reports.append(_stacked_report(tables, together))
     return reduce(DataFrame.unionByName, reports)
+
+
+def _stacked_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    wanted: dict[str, dict[str, None]] = {}
+    for k in checks:
+        for table in (k.table, k.parent) if k.kind == "relationships" else (k.table,):
+            wanted.setdefault(table, {})[k.column] = None
+    counts = materialize(reduce(DataFrame.unionByName, [_value_counts(t, tables[t], list(c)) for t, c in wanted.items()]), "values")
+    spark, where = counts.sparkSession, ["table_name", "column_name"]
+
+    known = F.lit(True)
+    for k in checks:
+        if k.kind == "accepted_values":
+            kind = tables[k.table].schema[k.column].dataType
+            listed = [F.lit(v).cast(kind).cast("string") for v in k.accepted]
+            known = F.when((F.col("table_name") == k.table) & (F.col("column_name") == k.column), F.col("value").isin(*listed)).otherwise(known)
+    present = F.col("value").isNotNull()
+    each = counts.groupBy(*where).agg(
+        F.sum(F.when(present, 0).otherwise(F.col("n_rows"))).alias("not_null"),
+        F.count_if(present & (F.col("n_rows") > 1)).alias("unique"),
+        F.count_if(present & ~known).alias("accepted_values"),
+    ).unpivot(where, ["not_null", "unique", "accepted_values"], "check_name", "failures")
+
+    links = [(k.table, k.column, k.parent) for k in checks if k.kind == "relationships"]
+    if links:
+        link = spark.createDataFrame(links, "table_name string, column_name string, parent string")
+        children = counts.filter(present).join(F.broadcast(link), where)  # one row per declared relationship
+        parents = counts.select(F.col("table_name").alias("parent"), "column_name", "value")
+        lost = children.join(parents, ["parent", "column_name", "value"], "left_anti")
+        each = each.unionByName(
+            lost.groupBy(*where).agg(F.sum("n_rows").alias("failures")).withColumn("check_name", F.lit("relationships"))
+        )
+    # One row per declared check, also for a table without rows.
+    asked = spark.createDataFrame([(k.table, k.column, k.kind) for k in checks], "table_name string, column_name string, check_name string")
+    return asked.join(each, [*where, "check_name"], "left").select(
+        *where, "check_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
+    )

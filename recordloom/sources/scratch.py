@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -47,10 +48,40 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _width(kind: T.DataType) -> int | None:
+    """Bytes of a value of a type whose values all take the same room, its slot and null bits included."""
+    if isinstance(kind, T.StructType):
+        fields = [_width(f.dataType) for f in kind.fields]
+        return None if None in fields else 16 + sum(fields)
+    if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.VariantType)):
+        return None
+    return 24 if isinstance(kind, T.DecimalType) and kind.precision > 18 else 8
+
+
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of one value in Spark's row format; a NULL counts as an empty value."""
+    width = _width(kind)
+    if width is not None:
+        return F.lit(width).cast("bigint")
+    if isinstance(kind, T.ArrayType):
+        each = _width(kind.elementType)
+        if each is not None:
+            return F.coalesce(F.greatest(F.size(value), F.lit(0)), F.lit(0)) * F.lit(each).cast("bigint") + 32
+        start = F.lit(0).cast("bigint")
+        total = F.aggregate(value, start, lambda n, e: n + _bytes(e, kind.elementType))
+        return F.coalesce(total, start) + 32
+    if isinstance(kind, T.MapType):
+        keys = _bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+        return keys + _bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return reduce(Column.__add__, [_bytes(value.getField(f.name), f.dataType) for f in kind.fields], F.lit(16).cast("bigint"))
+    return F.coalesce(F.octet_length(value.cast("string")), F.lit(0)).cast("bigint") + 16
+
+
 def byte_count(df: DataFrame) -> Column:
-    """An aggregate: the size of all rows as text, at least as large as their values are in memory."""
-    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
-    return F.coalesce(F.sum(reduce(Column.__add__, texts, F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"))
+    """An aggregate: what all rows take in memory, with 16 bytes a column for null bits, padding and the row's place."""
+    values = [_bytes(F.col(f"`{f.name}`"), f.dataType) + 16 for f in df.schema.fields]
+    return F.coalesce(F.sum(reduce(Column.__add__, values, F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"))
 
 
 def materialize_measured(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:

@@ -48,3 +48,9 @@ def test_scope_is_pushed_to_the_scan(spark, tmp_path):
     pushed = plan[plan.index("PushedFilters"):]
     for part in ("IsNotNull(k)", "IsNotNull(t)", "GreaterThanOrEqual(t,2020-01-01", "EqualTo(c,x)"):
         assert part in pushed
+
+
+def test_maps_break_ties_whatever_the_order_of_their_entries(spark):
+    df = spark.sql("select * from values (1, map('a', map('x', 1), 'b', null)), (1, map('b', null, 'a', map('x', 0))) as t(k, m)")
+    for rows in (df, df.orderBy(F.monotonically_increasing_id().desc())):
+        assert [r.m["a"] for r in keep_latest(rows.repartition(2), "k", []).collect()] == [{"x": 0}]

@@ -63,3 +63,18 @@ def test_degenerate_edge(spark):
     df = spark.range(1).select(g.wkt_edges(F.lit("POLYGON((0 0, 0 0, 1 0, 1 1, 0 0))")).alias("e"))
     far = df.select(g.distance(g.segments(F.col("e")), F.lit(-3.0), F.lit(0.0), F.lit(1.0))).collect()[0][0]
     assert far == 3.0
+
+
+def test_texts_that_are_no_polygon_are_told(spark):
+    bad = {
+        "POLYGON((0 0, 1 0, 1 1, 0 0)": "not the text", "LINESTRING(0 0, 1 1)": "not the text", "": "not the text",
+        "POLYGON((0 0, 1 0, x 1, 0 0))": "not the text", "POLYGON((0 0, 1 0, 1 1, 0 1))": "not closed",
+        "POLYGON((0 0, 1 0, 0 0))": "not closed", "POLYGON((0 0 5, 1 0 5, 1 1 5, 0 0 5))": "not the text",
+        "POLYGON((0 0, 1 0, 1 1, 0 0)) x": "not the text", "MULTIPOLYGON((0 0, 1 0, 1 1, 0 0))": "not the text",
+    }
+    ring = ", ".join(f"{i}.5 -{i}e0" for i in range(20_000))
+    good = [*SHAPES, None, "POLYGON EMPTY", "multipolygon empty", f"POLYGON (({ring}, 0.5 0))"]
+    df = spark.createDataFrame([(w,) for w in [*bad, *good]], "w string")
+    got = [r[0] for r in df.select(g.wkt_problem(F.col("w"))).collect()]
+    for text, expected in zip([*bad.values(), *[None] * len(good)], got):
+        assert expected is None if text is None else text in expected

@@ -54,7 +54,7 @@ def test_hot_key_is_spread(spark):
 
 def test_measure_counts_every_frame(spark):
     text = spark.createDataFrame([("abcd",), (None,)], "s string")
-    assert measure(text, text.limit(0), spark.range(3)) == [36, 0, 51]
+    assert measure(text, text.limit(0), spark.range(3)) == [68, 0, 72]  # 4 + 16 + 16 and 16 + 16; 8 + 16 each
 
 
 def test_size_is_counted_while_writing(spark):

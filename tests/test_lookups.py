@@ -68,3 +68,14 @@ def test_several_small_dimensions_shuffle_nothing(spark):
     assert df.columns == ["id", "x", "y", "kx", "ky"] and [tuple(r) for r in df.collect()] == [(1, "a", "b", "k", None)]
     plan = plan_of(df)
     assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
+
+
+def test_budget_is_shared_by_all_dimensions(spark):
+    assert lk._shared_budget([5, 1, 4, 2], 7) == [8, 1, 4, 2]
+    assert lk._shared_budget([20 << 20] * 6, 64 << 20).count(20 << 20) == 3
+    feed = spark.createDataFrame([(1, "a"), (2, "z"), (3, None)], "id int, m string")
+    dims = [spark.createDataFrame([(f"k{i}", "a" * (1 + i)), ("kz", "z")], f"key{i} string, m string") for i in range(3)]
+    looks = [lk.Lookup(d, f"key{i}", (lk.strict(c("m"), "m"),)) for i, d in enumerate(dims)]
+    plenty, scarce = lk.look_up(feed, looks), lk.look_up(feed, looks, budget=150)
+    assert sorted(map(tuple, plenty.collect()), key=repr) == sorted(map(tuple, scarce.collect()), key=repr)
+    assert sorted(map(tuple, plenty.collect()))[0] == (1, "a", "k0", None, None)

@@ -162,3 +162,13 @@ def test_coordinates_are_checked(spark, values):
 def test_cell_must_be_a_power_of_two():
     with pytest.raises(ValueError):
         rg._top_level(0.01)
+
+
+def test_bad_texts_fail_or_are_reported(spark):
+    seed = spark.createDataFrame(
+        [*FIXED, ("1", "Bronx", "POLYGON((0 0, 1 0, 1 1, 0 0)"), ("2", "Bronx", "LINESTRING(0 0, 1 1)"), ("3", "Bronx", None)], SEED
+    )
+    with pytest.raises(PySparkException, match="region text"):
+        rg.parse_regions(seed)
+    assert rg.parse_regions(seed, strict=False).count() == len(FIXED)
+    assert {r.zip_code for r in rg.unreadable_regions(seed).collect()} == {"1", "2"}
