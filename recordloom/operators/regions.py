@@ -40,6 +40,9 @@ CELL = 1 / 128
 # The coarsest tiles; with their neighbours they hold every valid coordinate.
 WORLD = 512.0
 
+# Edges that start in one tile of so many cells are looked at together.
+PIECE_CELLS = 2
+
 # Distances are ranked after rounding to 1e-9; candidates are kept a little beyond a tie.
 SLACK = 1e-8
 
@@ -145,12 +148,20 @@ def _region_tiles(leveled: DataFrame, cell: float, ring: int) -> DataFrame:
     return leveled.withColumn("tx", reach("xmin", "xmax")).withColumn("ty", reach("ymin", "ymax"))
 
 
-def _unit_tiles(units: DataFrame, first: Column, last: Column) -> DataFrame:
-    """The tile of every unit on each level from ``first`` to ``last``; none if the range is empty.
+def _native_levels(leveled: DataFrame) -> list[int]:
+    """The levels on which something is native: as many numbers as there are levels, at most."""
+    return sorted(row.native for row in leveled.select("native").distinct().collect())
+
+
+def _unit_tiles(units: DataFrame, first: Column, last: Column, only: list[int] | None = None) -> DataFrame:
+    """The tile of every unit on each level from ``first`` to ``last``, or those ``only``; none if the range is empty.
 
     A unit is a tile too, ``cx``, ``cy`` on level ``size``; cells are the units of size 0.
     """
     levels = F.when(first <= last, F.sequence(first, last))
+    if only is not None:
+        known = F.array(*map(F.lit, only)).cast("array<int>")
+        levels = F.filter(levels, lambda level: F.array_contains(known, level))
     return units.withColumn("level", F.explode(levels)).withColumns(
         {"tx": F.expr("shiftright(cx, level - size)"), "ty": F.expr("shiftright(cy, level - size)")}
     )
@@ -206,33 +217,66 @@ def candidate_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL)
 
     Takes the place of a cross join with the regions.
     """
-    native = _region_tiles(_native_level(regions, cell).withColumnRenamed("native", "level"), cell, 0)
-    probes = _unit_tiles(_with_box(_as_units(cells), cell), F.lit(0), F.lit(_top_level(cell)))
+    leveled = _native_level(regions, cell)
+    native = _region_tiles(leveled.withColumnRenamed("native", "level"), cell, 0)
+    probes = _unit_tiles(_with_box(_as_units(cells), cell), F.lit(0), F.lit(_top_level(cell)), _native_levels(leveled))
     touching = probes.join(native, TILE).filter("xmin <= x1 and xmax >= x0 and ymin <= y1 and ymax >= y0")
     return touching.select(*CELL_KEY, "region_id")
 
 
+def _box_of(e: Column) -> tuple[Column, Column, Column, Column]:
+    return F.least(e.x1, e.x2), F.greatest(e.x1, e.x2), F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)
+
+
+def _edge_rows(regions: DataFrame, cell: float) -> DataFrame:
+    """Every edge once for each row of cells it touches, borders included, with the labels of its region."""
+    edges = regions.select("region_id", "derived_zip", "derived_borough", F.explode("edges").alias("e"))
+    _, _, low, high = _box_of(F.col("e"))
+    return edges.withColumn("cy", F.explode(F.sequence(F.ceil(low / cell) - 1, F.floor(high / cell))))
+
+
 def _inside(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
+    """Cells meet the edges of their own row only, so a large region's edges are spread over its rows."""
     x0, x1, y0, y1 = (F.col(c) for c in UNIT_BOX[:4])
 
     def in_reach(e: Column) -> Column:
-        return (
-            (F.greatest(e.y1, e.y2) >= y0) & (F.least(e.y1, e.y2) <= y1) & (F.greatest(e.x1, e.x2) >= x0)
-        )
-
-    shapes = regions.select("region_id", "derived_zip", "derived_borough", "edges")
-    pairs = _with_box(_as_units(candidate_regions(cells, regions, cell)), cell).join(shapes, "region_id")
-    touched = F.exists("edges", lambda e: in_reach(e) & (F.least(e.x1, e.x2) <= x1))
+        _, east, low, high = _box_of(e)
+        return (high >= y0) & (low <= y1) & (east >= x0)
+
+    pairs = _with_box(_as_units(candidate_regions(cells, regions, cell)), cell)
+    met = pairs.join(_edge_rows(regions, cell), ["region_id", "cy"]).filter(in_reach(F.col("e")))
+    per_cell = met.groupBy(*CELL_KEY, "region_id", "derived_zip", "derived_borough", *UNIT_BOX[:4])
+    # A cell that no edge's box touches lies on one side of the region as a whole.
+    listed = per_cell.agg(F.collect_list("e").alias("edges"), F.max(_box_of(F.col("e"))[0] <= x1).alias("touched"))
     centre = contains(F.col("edges"), (x0 + x1) / 2, (y0 + y1) / 2)
-    judged = pairs.withColumn("touched", touched).withColumn("whole", ~F.col("touched") & centre)
-    reach = F.filter("edges", lambda e: F.col("touched") & in_reach(e))
+    judged = listed.withColumn("whole", ~F.col("touched") & centre)
     return judged.filter("touched or whole").select(
-        *CELL_KEY, "derived_zip", "derived_borough", "whole", reach.alias("edges")
+        *CELL_KEY, "derived_zip", "derived_borough", "whole", F.filter("edges", lambda e: F.col("touched")).alias("edges")
     )
 
 
+def _pieces(regions: DataFrame, cell: float) -> DataFrame:
+    """The edges of every region in pieces, each a small region of the same labels with a box of its own.
+
+    A piece holds the edges of about one size that start in one tile, so its box is as small as they
+    allow, and what is near one end of a region does not meet the edges of the other.
+    """
+    edges = regions.select("region_id", "derived_zip", "derived_borough", F.explode("edges").alias("e"))
+    west, east, low, high = _box_of(F.col("e"))
+    # ``greatest`` passes over the NULL that an edge of no length gives.
+    size = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(east - west, high - low))))
+    sized = edges.withColumn("side", F.greatest(F.lit(PIECE_CELLS * cell), size))
+    tile = [F.floor(west / F.col("side")).alias("tx"), F.floor(low / F.col("side")).alias("ty")]
+    pieces = sized.groupBy("region_id", "derived_zip", "derived_borough", "side", *tile).agg(
+        F.collect_list("e").alias("edges"),
+        F.min(west).alias("xmin"), F.max(east).alias("xmax"), F.min(low).alias("ymin"), F.max(high).alias("ymax"),
+    )
+    return materialize(pieces.drop("side", "tx", "ty").withColumn("region_id", F.monotonically_increasing_id()), "pieces")
+
+
 def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     top = F.lit(_top_level(cell))
+    regions = _pieces(regions, cell)
     native = _native_level(regions, cell)
     tiles = native.withColumn("level", F.explode(F.sequence(F.col("native"), top)))
     tiles = _region_tiles(tiles, cell, 1)
@@ -241,9 +285,7 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     box = [F.col(c) for c in BOX]
 
     def least(e: Column) -> Column:
-        return _least_distance(
-            F.least(e.x1, e.x2), F.greatest(e.x1, e.x2), F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)
-        )
+        return _least_distance(*_box_of(e))
 
     def most(e: Column) -> Column:
         return F.least(_most_distance(e.x1, e.x1, e.y1, e.y1), _most_distance(e.x2, e.x2, e.y2, e.y2))
@@ -259,11 +301,10 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     units = grouped.select("size", F.col("ux").alias("cx"), F.col("uy").alias("cy"), "at").distinct()
     units = _with_box(units, cell)
 
-    # The edges of the regions found there bound the distance from any point of the unit.
+    # The boxes of the pieces found there bound the distance from any point of the unit.
     keep = [*UNIT, *UNIT_BOX]
-    first = _unit_tiles(units, F.col("at"), F.col("at")).join(tiles, TILE).select(*keep, "region_id")
-    reach = F.array_min(F.transform("edges", most))
-    bound = first.join(shapes, "region_id").groupBy(*keep).agg(F.min(reach).alias("bound"))
+    first = _unit_tiles(units, F.col("at"), F.col("at")).join(tiles, TILE)
+    bound = first.groupBy(*keep).agg(F.min(_most_distance(*box)).alias("bound"))
 
     # On the level whose tiles are as large as that bound, nothing beyond the neighbours can matter.
     wide_enough = F.filter(
@@ -272,16 +313,18 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     )
     bound = bound.withColumn("at", F.coalesce(F.array_min(wide_enough), top))
     here = _unit_tiles(bound, F.col("at"), F.col("at")).join(tiles, TILE)
-    larger = _unit_tiles(bound, F.col("at") + 1, top).join(own_tiles, TILE)
+    larger = _unit_tiles(bound, F.col("at") + 1, top, _native_levels(native)).join(own_tiles, TILE)
     wanted = [*keep, "bound", "region_id", *BOX]
     pairs = here.select(*wanted).unionByName(larger.select(*wanted))
-    pairs = pairs.filter(_least_distance(*box) <= F.col("bound") + SLACK).drop(*BOX)
+    pairs = pairs.filter(_least_distance(*box) <= F.col("bound") + SLACK).drop(*BOX, "bound")
+    # Their edges give a closer bound.
+    reach = F.array_min(F.transform("edges", most))
+    shaped = pairs.join(shapes, "region_id").withColumn("bound", F.min(reach).over(Window.partitionBy(*UNIT)))
     within = F.filter("edges", lambda e: least(e) <= F.col("bound") + SLACK)
-    shaped = pairs.join(shapes, "region_id").withColumn("edges", within).filter(F.size("edges") > 0)
-    per_unit = shaped.select(
-        "size", F.col("cx").alias("ux"), F.col("cy").alias("uy"), "derived_zip", "derived_borough",
-        segments(F.col("edges")).alias("segments"),
-    )
+    shaped = shaped.withColumn("edges", within).filter(F.size("edges") > 0)
+    per_unit = shaped.groupBy(
+        "size", F.col("cx").alias("ux"), F.col("cy").alias("uy"), "derived_zip", "derived_borough"
+    ).agg(F.flatten(F.collect_list(segments(F.col("edges")))).alias("segments"))
     return grouped.join(per_unit, ["size", "ux", "uy"]).select(*CELL_KEY, "derived_zip", "derived_borough", "segments")
 
 

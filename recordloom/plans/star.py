@@ -9,6 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ..operators.regions import CELL
+from ..sources.scratch import temporary_tables
 from ..sources.writers import database_for, write_path, write_table
 from . import dimensions as dim
 from .facts import fact_crashes, fact_requests
@@ -112,14 +113,16 @@ def build_star(
 
     Staging is written before anything reads it, so each feed is cleaned once, and the
     dimensions before the facts, so that their sizes are known when they are joined.
+    Nothing but the saved tables stays behind; ``save`` must not return a scan of a scratch table.
     """
-    tables = {"seed": save("seed", seed)}
-    staged = {
-        "stg_requests": stage_requests(requests, tiebreak=request_ties),
-        "stg_crashes": stage_crashes(crashes, tables["seed"], crash_ties, multi, cell),
-    }
-    tables |= save_all(staged, save)
-    req, cra = tables["stg_requests"], tables["stg_crashes"]
-    tables |= save_all(shared_dimensions(req, cra) | request_dimensions(req) | crash_dimensions(cra), save)
-    facts = {"fact_requests": fact_requests(req, tables), "fact_crashes": fact_crashes(cra, tables)}
-    return tables | save_all(facts, save)
+    with temporary_tables(seed.sparkSession):
+        tables = {"seed": save("seed", seed)}
+        staged = {
+            "stg_requests": stage_requests(requests, tiebreak=request_ties),
+            "stg_crashes": stage_crashes(crashes, tables["seed"], crash_ties, multi, cell),
+        }
+        tables |= save_all(staged, save)
+        req, cra = tables["stg_requests"], tables["stg_crashes"]
+        tables |= save_all(shared_dimensions(req, cra) | request_dimensions(req) | crash_dimensions(cra), save)
+        facts = {"fact_requests": fact_requests(req, tables), "fact_crashes": fact_crashes(cra, tables)}
+        return tables | save_all(facts, save)

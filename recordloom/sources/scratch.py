@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -35,9 +38,35 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+# Folders written since the innermost ``temporary_tables`` of this context began.
+_owned: ContextVar[list[str] | None] = ContextVar("_owned", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table."""
-    return f"{scratch_dir(spark)}/recordloom/{uuid.uuid4().hex}/{name}"
+    folder = f"{scratch_dir(spark)}/recordloom/{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(folder)
+    return f"{folder}/{name}"
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables of the block when it ends, also after a failure.
+
+    For blocks that save their results; a frame that still reads a scratch table is of no use afterwards.
+    """
+    owned: list[str] = []
+    token = _owned.set(owned)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in owned:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 
 import pytest
 from conftest import plan_of
@@ -9,7 +10,7 @@ from recordloom.plans.checks import DECLARED, run_checks
 from recordloom.plans.facts import fact_requests
 from recordloom.plans.staging import stage_requests
 from recordloom.plans.star import LAYERS, TABLES, build_star, to_databases, to_folder
-from recordloom.sources import CRASHES, REQUESTS
+from recordloom.sources import CRASHES, REQUESTS, scratch_dir
 from test_geometry import HOLED, MULTI, PLAIN
 
 NEW = dt.datetime(2024, 5, 27, 9, 30)
@@ -140,6 +141,16 @@ def test_null_and_blank_descriptor_fan_out_is_reported(spark, tmp_path):
     assert [r.n_rows for r in doubled] == [2, 2]
 
 
+def test_only_the_tables_stay_and_loading_times_are_one(spark, tmp_path):
+    scratch = pathlib.Path(scratch_dir(spark).removeprefix("file:"), "recordloom")
+    before = set(scratch.glob("*"))
+    star = build_star(_requests(spark), _crashes(spark), _seed(spark), to_folder(str(tmp_path)))
+    assert set(scratch.glob("*")) == before
+    for name in ("stg_requests", "stg_crashes"):
+        times = star[name].agg(F.count("_stg_loaded_at").alias("n"), F.count("*").alias("rows"), F.count_distinct("_stg_loaded_at").alias("times"))
+        assert times.first().n == times.first().rows and times.first().times == 1
+
+
 def test_checks_see_failures(spark):
     child = spark.createDataFrame([(1, "a"), (2, "b"), (2, None), (None, "b"), (3, "z")], "id int, k string")
     parent = spark.createDataFrame([("a",), ("b",), (None,)], "p string")

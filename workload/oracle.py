@@ -383,4 +383,6 @@ _PLAIN: dict[str, str] = {
         GROUP BY 1""",
 }
 
+_PLAIN["region_enrich_split"] = _PLAIN["region_enrich"]
+
 ORACLE: dict[str, str] = {name: with_steps(sql) for name, sql in _PLAIN.items()}
