@@ -6,6 +6,11 @@ wherever it stands in a document. Chunks of two lines or more that occur more th
 anywhere are compared byte by byte, and all but the first occurrence (by doc_id, then place
 in the document) are removed.
 
+``drop_repeated_passages``, used by the pipeline, has no boundaries to miss: of every two neighbouring lines that
+are not blank, with the blank ones between, all but the first occurrence are removed, compared byte by byte as
+well. Of a repeated passage of two lines or more nothing stays, whatever stands around it, and every line that goes
+still stands where it came first. One line alone is no passage.
+
 A NULL text counts as empty and stays NULL in ``drop_repeated_lines``; a text of one line has
 no multi-line chunk. Rows repeated in full, id included, count once and are treated alike.
 Rows sharing only an id are told apart by their text.
@@ -13,6 +18,8 @@ Rows sharing only an id are told apart by their text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,9 +55,23 @@ def _with_chunks(df: DataFrame, divisor: int) -> DataFrame:
     return df.withColumn("chunks", F.zip_with(first, last, chunk)).drop("_lines", "_hashes", "_ends")
 
 
+def _with_pairs(df: DataFrame) -> DataFrame:
+    """Add ``_lines``, ``_at`` (numbers of the lines that are not blank) and ``chunks``, one for every two neighbours of ``_at``."""
+    df = df.withColumn("_lines", F.split("text", "\n", -1))
+    df = df.withColumn("_at", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.get("_lines", i).rlike(r"\S")))
+    pair = lambda a, b: F.array_join(F.slice("_lines", a + 1, b - a + 1), "\n")
+    n = F.size("_at")
+    seconds = F.slice("_at", 2, F.greatest(n - 1, F.lit(0)))
+    return df.withColumn("chunks", F.zip_with(F.slice("_at", 1, F.greatest(n - 1, F.lit(0))), seconds, pair))
+
+
 def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """Chunks of ``keyed`` documents to remove: k1, k2, removed (chunk numbers from 0) and n_chunks, written once."""
-    rows = _with_chunks(docs, divisor)
+    return _repeated(docs, lambda df: _with_chunks(df, divisor))
+
+
+def _repeated(docs: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    rows = cut(docs).select("doc_id", *ROW, "chunks")
     # The outer form keeps Spark from testing the array's size first, which would compute all of it again and again.
     places = rows.select(*ROW, F.posexplode_outer("chunks").alias("no", "chunk")).filter(F.instr("chunk", "\n") > 0)
     places = materialize(places.select(*ROW, "no", F.xxhash64("chunk").alias("hash")), "chunk_hashes").distinct()
@@ -105,6 +126,35 @@ def drop_repeated_lines(docs: DataFrame, divisor: int = DIVISOR, drop_emptied: b
     )
 
 
+def drop_repeated_passages(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
+    """Every input row and column, ``text`` without the passages of two lines or more that stand earlier, and ``lines_removed``.
+
+    With ``drop_emptied`` the rows that lose all of their lines but blank ones go. An input column ``lines_removed`` is replaced.
+    """
+    rows = whole_rows(docs).withColumn("text", F.coalesce("row.text", F.lit("")))
+    gone = _repeated(keyed(docs), _with_pairs).withColumnsRenamed({k: f"g{k}" for k in ROW})
+    joined = sized_join(rows, gone, [(F.col(k), F.col(f"g{k}")) for k in ROW], "left")
+    if drop_emptied:
+        covered = F.array_distinct(F.concat("removed", F.transform("removed", lambda p: p + 1)))
+        joined = joined.filter(F.col("removed").isNull() | (F.size(covered) <= F.col("n_chunks")))
+    joined = _with_pairs(joined).drop("chunks")
+    cut = F.flatten(F.transform("removed", lambda p: F.sequence(F.get("_at", p), F.get("_at", p + 1))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), cut)
+    joined = joined.withColumn("_left", left)
+    kept = F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n")
+    none = F.col("removed").isNull()
+    # A step of its own, so that input columns named like those used here cannot be meant.
+    done = joined.select(
+        "row",
+        F.when(none, F.col("row.text")).otherwise(kept).alias("_text"),
+        F.when(none, 0).otherwise(F.size("_lines") - F.size("_left")).cast("bigint").alias("_removed"),
+    )
+    names = [c for c in docs.columns if c != "lines_removed"]
+    return done.select(
+        *[F.col("_text").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in names], F.col("_removed").alias("lines_removed")
+    )
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     from .common import read
 
