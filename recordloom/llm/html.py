@@ -3,8 +3,10 @@
 A page is parsed into a tree. The density of a node is its characters per tag, lowered where much of
 it is link text (log-scaled ratios, as in the published composite text density). The density sum
 of a node is the sum of its children's densities. The least density on the path from body to the node
-with the greatest density sum is the threshold; of the nodes of at least that density, the one with
-the greatest sum is the content. Elements that are never content by their meaning (navigation, headers of
+with the greatest density sum is the threshold. The page is walked from body: of the topmost nodes beside that path whose
+density reaches the threshold, the subtree of the greatest sum is content as well, and what lies beside it is judged in the same
+way. All of these are kept in page order; but a node of the greatest sum within an article or main stands for
+that alone. Elements that are never content by their meaning (navigation, headers of
 the page, footers, asides, forms, scripts, styles, and blocks whose class, id or role says notice, advert,
 comments and the like) are left out before any density is taken.
 
@@ -189,6 +191,40 @@ def _texts(node: Node) -> str:
     return " ".join("".join(out).split())
 
 
+def _upwards(node: Node, top: Node, parents: dict[int, Node]) -> list[Node]:
+    """The node, its parent and so on up to ``top``."""
+    path = [node]
+    while node is not top:
+        node = parents[id(node)]
+        path.append(node)
+    return path
+
+
+def _contents(path: list[Node], nodes: list[Node], parents: dict[int, Node]) -> list[Node]:
+    """The content nodes in page order; none lies in another. ``path`` leads from the first of them up to body, ``nodes`` has parents first."""
+    top, body, threshold = path[0], path[-1], min(n.density for n in path)
+    best: dict[int, Node] = {}  # of every node the one of the greatest sum below it, or itself
+    for node in reversed(nodes):
+        mine = best.setdefault(id(node), node)
+        if node.sum >= mine.sum:
+            mine = best[id(node)] = node
+        if node is not body and mine.sum > best.setdefault(id(parents[id(node)]), mine).sum:
+            best[id(parents[id(node)])] = mine
+    kept, todo = [], [body]
+    opened, whole = {id(n) for n in path}, {id(top)}
+    while todo:
+        node = todo.pop()
+        if id(node) not in opened and node.chars and node.density >= threshold:
+            found = best[id(node)]
+            whole.add(id(found))
+            opened.update(id(n) for n in _upwards(found, node, parents))
+        if id(node) in whole:
+            kept.append(node)
+        else:
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.skip)
+    return kept
+
+
 def main_text(page: str | None) -> str:
     """The text of the content node of a page."""
     if not page:
@@ -199,21 +235,15 @@ def main_text(page: str | None) -> str:
     top = max(nodes, key=lambda n: n.sum)
     if not top.chars:
         return _texts(body)
-    # Path from body down to the node of the greatest sum.
     parents = {id(c): n for n in nodes for c in n.children if isinstance(c, Node)}
-    path, node = [top], top
-    while node is not body:
-        node = parents[id(node)]
-        path.append(node)
-    threshold = min(n.density for n in path)
-    content = max((n for n in nodes if n.density >= threshold), key=lambda n: n.sum)
+    path, outer = _upwards(top, body, parents), None
     # A content node that is itself one block of an article stands for the whole article.
-    node = content
-    while node is not body:
+    for node in path[:-1]:
         if node.name in ("article", "main"):
-            content = node
-        node = parents[id(node)]
-    return _texts(content)
+            outer = node
+    if outer:
+        return _texts(outer)
+    return " ".join(filter(None, map(_texts, _contents(path, nodes, parents))))
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
