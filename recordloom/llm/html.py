@@ -60,7 +60,8 @@ COMMENT_WORDS = frozenset("comment comments reply replies disqus".split())
 TOKEN = re.compile(
     r"<!--(?:.*?)(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S
 )
-MARKS = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+# A name and its value, so that words of values are never names.
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 NAMES = re.compile(r"[a-z]+|\d+")
 
 
@@ -78,7 +79,7 @@ def _aside(name: str, rest: str) -> bool:
     if not rest or rest.isspace() or name in ("html", "body", "main"):
         return False
     words = COMMENT_WORDS if name == "article" else ASIDE_WORDS
-    for key, a, b, c in MARKS.findall(rest):
+    for key, a, b, c in ATTRIBUTE.findall(rest):
         key, value = key.lower(), (a or b or c).lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
             return True

@@ -32,3 +32,20 @@ def test_an_article_stands_for_itself():
     texts = paragraphs("Inner")
     page = f"<body>{block(paragraphs('Outer', 3))}<article>{block(texts[:5])}{block(texts[5:])}</article></body>"
     assert html.main_text(page) == " ".join(texts)
+
+
+@pytest.mark.parametrize("attribute", [
+    'style="overflow:hidden"', "title='the hidden valley'", 'title="a > b hidden = x"', "data-hidden", 'data-id="sidebar"', "data-class=comments", 'aria-hidden="false"', "x-hidden=hidden",
+])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_words_of_values_hide_nothing(attribute, tag):
+    texts = paragraphs("Inner")
+    page = f"<body>{LINKS}<{tag} {attribute}>" + "".join(f"<p>{t}</p>" for t in texts) + f"</{tag}></body>"
+    assert html.main_text(page) == " ".join(texts)
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=''", 'class="x" hidden', "hidden='hidden'", "aria-hidden=true", 'style="a:b" aria-hidden = "True"'])
+def test_hidden_elements_go(attribute):
+    texts = paragraphs("Inner")
+    page = f"<body>{LINKS}{block(texts)}<div {attribute}>{block(paragraphs('Secret', 20))}</div></body>"
+    assert html.main_text(page) == " ".join(texts)
