@@ -7,8 +7,10 @@ with the greatest density sum is the threshold. The page is walked from body: of
 density reaches the threshold, the subtree of the greatest sum is content as well, and what lies beside it is judged in the same
 way. All of these are kept in page order; but a node of the greatest sum within an article or main stands for
 that alone. Elements that are never content by their meaning (navigation, headers of
-the page, footers, asides, forms, scripts, styles, and blocks whose class, id or role says notice, advert,
-comments and the like) are left out before any density is taken.
+the page, footers, asides, forms, scripts, styles, and blocks with a class, id or role that says notice, advert,
+comments and the like, whole or as its last part) are left out before any density is taken. A block that only its class, id
+or role marks is left to the density if it holds an article, a main or an h1, or else most of the page's text outside links
+while no article or main, nor for comments an h1, stands elsewhere.
 
 NULL or empty html gives an empty text. Broken markup is read leniently: unclosed elements end with
 their parent, stray end tags are ignored, a bare "<" is text. Long pages and repeated rows need no special care;
@@ -62,37 +64,77 @@ TOKEN = re.compile(
 )
 # A name and its value, so that words of values are never names.
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-NAMES = re.compile(r"[a-z]+|\d+")
+# Parts of a class name before which the last one says something else, and parts that only say where or how a block stands.
+NOT_ITSELF = frozenset("has no with without not hide show is".split())
+PLACES = frozenset("area box container wrapper wrap inner outer list block section left right top bottom primary secondary".split())
+PARTS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("name", "children", "skip", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "children", "skip", "mark", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, name: str, skip: bool = False):
-        self.name, self.skip = name, skip
+    def __init__(self, name: str, skip: bool = False, mark: str = ""):
+        self.name, self.skip, self.mark = name, skip, mark
         self.children: list[Node | str] = []
 
 
-def _aside(name: str, rest: str) -> bool:
+def _says(token: str) -> str:
+    """The word by which a class, an id or a role marks a block, or ''."""
+    if token in ASIDE_WORDS:
+        return token
+    parts = PARTS.findall(token)
+    while parts and parts[-1] in PLACES:
+        parts.pop()
+    if not parts or parts[-1] not in ASIDE_WORDS or not NOT_ITSELF.isdisjoint(parts[:-1]):
+        return ""
+    return parts[-1]
+
+
+def _aside(name: str, rest: str) -> tuple[bool, str]:
+    """Whether an element is never content, and the mark that its class, id or role gives it, "comment" or "aside"."""
     if name in HIDDEN:
-        return True
+        return True, ""
     if not rest or rest.isspace() or name in ("html", "body", "main"):
-        return False
-    words = COMMENT_WORDS if name == "article" else ASIDE_WORDS
+        return False, ""
+    said = set()
     for key, a, b, c in ATTRIBUTE.findall(rest):
         key, value = key.lower(), (a or b or c).lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-        if key in ("class", "id", "role") and not words.isdisjoint(NAMES.findall(value)):
-            return True
-    return False
+            return True, ""
+        if key in ("class", "id", "role"):
+            said.update(filter(None, map(_says, value.split())))
+    if said & COMMENT_WORDS:
+        return False, "comment"
+    return False, "aside" if said and name != "article" else ""
+
+
+def _settle(root: Node) -> None:
+    """Skip the marked blocks, but those that hold what a page is read for."""
+    order, todo = [], [(root, None, False)]
+    while todo:
+        node, parent, link = todo.pop()
+        order.append((node, parent))
+        link = link or node.name == "a"
+        node.chars = 0 if link else sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        # For now these count articles and mains, and first headings.
+        node.tags, node.link_tags = int(node.name == "main" or node.name == "article" and not node.mark), int(node.name == "h1")
+        todo.extend((c, node, link) for c in node.children if isinstance(c, Node) and not c.skip)
+    for node, parent in reversed(order):
+        if parent:
+            parent.chars += node.chars
+            parent.tags += node.tags
+            parent.link_tags += node.link_tags
+    for node, _ in order:
+        if node.mark and not node.tags and not node.link_tags:
+            elsewhere = root.tags or node.mark == "comment" and root.link_tags
+            node.skip = bool(elsewhere) or node.chars * 2 <= root.chars
 
 
 def parse(page: str) -> Node:
     """The tree of a page; text is kept undecoded."""
     root = Node("html")
     stack = [root]
-    at = 0
+    at, marked = 0, False
     while m := TOKEN.search(page, at):
         if m.start() > at:
             stack[-1].children.append(page[at : m.start()])
@@ -128,7 +170,9 @@ def parse(page: str) -> Node:
                 if stack[i].name in stop:
                     break
         site_header = name == "header" and not any(n.name in ("article", "main") for n in stack)
-        node = Node(name, site_header or _aside(name, m["rest"]))
+        skip, mark = _aside(name, m["rest"])
+        node = Node(name, site_header or skip, mark)
+        marked = marked or bool(mark)
         stack[-1].children.append(node)
         if name in VOID or m["rest"].endswith("/") and name not in BLOCK:
             continue
@@ -139,6 +183,8 @@ def parse(page: str) -> Node:
         stack.append(node)
     if at < len(page):
         stack[-1].children.append(page[at:])
+    if marked:
+        _settle(root)
     return root
 
 

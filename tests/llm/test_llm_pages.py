@@ -49,3 +49,41 @@ def test_hidden_elements_go(attribute):
     texts = paragraphs("Inner")
     page = f"<body>{LINKS}{block(texts)}<div {attribute}>{block(paragraphs('Secret', 20))}</div></body>"
     assert html.main_text(page) == " ".join(texts)
+
+
+@pytest.mark.parametrize("name", ["post has-sidebar", "no-sidebar", "entry-content comments-open", "search-result", "login-guide", "related-work", "layout-with-sidebar-left"])
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+def test_parts_of_class_names_hide_nothing(name, tag):
+    texts = paragraphs("Inner")
+    page = f"<body>{LINKS}<{tag} class='{name}'>" + "".join(f"<p>{t}</p>" for t in texts) + f"</{tag}></body>"
+    assert html.main_text(page) == " ".join(texts)
+    short = f"<body>{block(paragraphs('Other', 20))}<{tag} class='{name}'>" + "".join(f"<p>{t}</p>" for t in texts) + f"</{tag}></body>"
+    assert not [n for n in html.parse(short).children[0].children if n.skip]
+
+
+@pytest.mark.parametrize("mark", [
+    "class=sidebar", "id='comments'", "role=navigation", "class='x cookie-notice'", "class=site-footer", "class='ad-container'", "class='sidebar-left'", "id=comments-area", "class=ad2",
+])
+def test_marked_blocks_go(mark):
+    texts = paragraphs("Inner")
+    page = f"<body><div {mark}>{block(paragraphs('Noise', 9))}</div><article>{block(texts)}</article><div {mark}>Noise</div></body>"
+    assert html.main_text(page) == " ".join(texts)
+    assert html.main_text(page.replace("article", "div")) == " ".join(texts)
+
+
+def test_marked_blocks_with_the_article_are_left_to_density():
+    texts = paragraphs("Inner")
+    for inner in (block(texts), f"<article>{block(texts)}</article>", f"<main>{block(texts)}</main>"):
+        assert html.main_text(f"<body>{LINKS}<div class=banner>{inner}</div></body>") == " ".join(texts)
+    assert html.main_text(f"<body>{LINKS}<div id=sidebar><h1>Title</h1><p>Text of it, short but plain.</p></div><p>x</p></body>").startswith("Title")
+
+
+def test_long_comments_are_no_content():
+    texts, said = paragraphs("Inner"), paragraphs("Reader", 40)
+    page = f"<body><article>{block(texts)}</article><div id=comments><article class=comment>{block(said)}</article></div></body>"
+    assert html.main_text(page) == " ".join(texts)
+
+
+def test_a_short_article_beside_a_long_advert():
+    page = f"<body><div class=ad>{block(paragraphs('Advert', 30))}</div><article><h1>Title</h1><p>Short text.</p></article></body>"
+    assert html.main_text(page) == "Title Short text."
