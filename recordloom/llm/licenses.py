@@ -1,7 +1,8 @@
 """License scans: TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-All of it runs as DataFrame expressions. Units compared to the templates are the lines that
-mention a license (headers) and, for texts with such a line, the whole text (license files). Term
+All of it runs as DataFrame expressions. Units compared to the short notices are the lines that
+mention a license (headers) and, for texts with such a line, the whole text (license files). Beside them
+whole texts are compared to the full texts of ``license_texts``, and an SPDX-License-Identifier line names its license. Term
 weights are tf x idf with document frequencies counted over all texts; words outside the templates
 have the weight of a word never seen, so they only lengthen a unit's vector. A file takes the license
 of its best line or of its whole text; else that of the nearest directory above it, its own first,
@@ -14,6 +15,8 @@ are judged alike, each by itself. Only the named columns are read.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +46,10 @@ TEMPLATES = {
     ),
 }
 
+SPDX = r"(?i)SPDX-License-Identifier:\s*(\(*[a-z0-9][a-z0-9.+-]*\)*(?:\s+(?:OR|AND|WITH)\s+\(*[a-z0-9][a-z0-9.+-]*\)*)*)"
 MENTION = r"(?i)licen[cs]e|copyright|spdx|all rights reserved|public domain"
 LEAST_COSINE = 0.6
+LEAST_FULL = 0.8  # full texts hold so many common words that prose comes near 0.6
 
 
 def _vectors(units: DataFrame, keys: list[str], idf: DataFrame, unseen: Column) -> DataFrame:
@@ -54,6 +59,50 @@ def _vectors(units: DataFrame, keys: list[str], idf: DataFrame, unseen: Column)
     return weighed.withColumn("weight", F.col("tf") * F.coalesce("idf", unseen))
 
 
+def full_texts() -> dict[str, str]:
+    """The full license texts by their SPDX names, read on the driver."""
+    return {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+
+def _reaches(unit: Column, vocabulary: list[str], least: Column) -> Column:
+    """Whether a unit of these words can have a cosine of ``least`` to anything; if not, it surely has not.
+
+    No weight is above that of a word never seen. So of the squared length the words in the vocabulary, n, have n ** 2 such
+    weights squared at most, and those outside it one each at least.
+    """
+    known = F.array_intersect(F.array_distinct(unit), F.split(F.lit(" ".join(vocabulary)), " "))
+    held = F.transform(F.array(known), lambda k: F.size(F.filter(unit, lambda w: F.array_contains(k, w))))[0].cast("double")  # known is found once
+    return held**2 * (1 - (least - 1e-6) ** 2) >= (least - 1e-6) ** 2 * (F.size(unit) - held)
+
+
+def text_scores(files: DataFrame) -> DataFrame:
+    """(k1, k2, line, license, score) of whole texts (line -1) of ``keyed`` files by full texts, and of SPDX lines."""
+    spark, full = files.sparkSession, full_texts()
+    patterns = {f"{k}-full": v for k, v in full.items()}
+    known = _templates(spark, patterns)
+    listing = sorted({w for row in known.collect() for w in row.words})
+    vocabulary = spark.createDataFrame([(w,) for w in listing], "term string")
+    every = files.select(F.explode_outer(F.concat(F.array_distinct(words(F.col("text"))), F.array(F.lit("")))).alias("term"))
+    listed = vocabulary.union(spark.createDataFrame([("",)], "term string"))
+    counted = materialize(every.join(F.broadcast(listed), "term").groupBy("term").agg(F.count("*").alias("df")), "frequencies")
+    n = (counted.filter("term = ''").first() or [0, 0])[1]
+    idf = vocabulary.join(F.broadcast(counted), "term", "left").select("term", (F.log((1 + n) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf"))
+    idf = materialize(idf, "block_idf")
+
+    rows = files.select("k1", "k2", "text").filter(F.col("text").rlike(MENTION)).distinct()
+    rows = rows.withColumn("_lines", F.split("text", "\n", -1))
+    whole = F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit")))
+    units = F.transform(whole, lambda s: F.struct(s.line.alias("line"), words(s.unit).alias("words")))
+    near = F.filter(units, lambda s: _reaches(s.words, listing, F.lit(LEAST_FULL)))
+    units = rows.select("k1", "k2", F.inline_outer(near)).filter("line IS NOT NULL")
+    scores = _best(units, known, idf, F.log(F.lit(1.0 + n)) + 1, F.col("score") >= LEAST_FULL)
+    named = F.filter(
+        F.transform("_lines", lambda s, i: F.struct((i * 2).alias("line"), F.regexp_extract(s, SPDX, 1).alias("license"))), lambda s: s.license != ""
+    )
+    spdx = rows.select("k1", "k2", F.inline(named)).select("k1", "k2", "line", "license", F.lit(1.0).alias("score"))
+    return scores.union(spdx)
+
+
 def _templates(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(sorted(templates.items()), "template string, notice string").select(
         "template", words(F.col("notice")).alias("words")
@@ -80,6 +129,11 @@ def license_scores(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> D
     )
     units = F.concat(F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit"))), lines)
     units = mentioning.select("k1", "k2", F.inline_outer(units)).distinct().select("k1", "k2", "line", words(F.col("unit")).alias("words"))
+    return _best(units, known, idf, unseen, F.col("score") >= LEAST_COSINE)
+
+
+def _best(units: DataFrame, known: DataFrame, idf: DataFrame, unseen: Column, enough: Column) -> DataFrame:
+    """(k1, k2, line, license, score) of the best template per unit, of those with ``enough``."""
     keys = ["k1", "k2", "line"]
     vectors = _vectors(units, keys, idf, unseen)
     patterns = _vectors(known, ["template"], idf, unseen)
@@ -91,10 +145,10 @@ def license_scores(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> D
     )
     scored = dots.join(length, keys).join(F.broadcast(lengths), "template")
     score = F.round(F.col("dot") / (F.col("length") * F.col("template_length")), 6)
-    ranked = scored.select(*keys, score.alias("score"), "template").filter(F.col("score") >= LEAST_COSINE)
+    ranked = scored.select(*keys, score.alias("score"), "template").filter(enough)
     best = F.min(F.struct((-F.col("score")).alias("minus"), F.col("template")))
     chosen = ranked.groupBy(*keys).agg(best.alias("best"))
-    return chosen.select(*keys, F.regexp_replace("best.template", "-header$", "").alias("license"), (-F.col("best.minus")).alias("score"))
+    return chosen.select(*keys, F.regexp_replace("best.template", "-(header|full)$", "").alias("license"), (-F.col("best.minus")).alias("score"))
 
 
 def _parent(path: Column) -> Column:
@@ -107,7 +161,7 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path
     rows = files.select(F.col(id_col).alias("doc_id"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))
     rows = rows.withColumns({"k1": F.xxhash64("doc_id", "path", F.coalesce("text", F.lit(""))), "k2": F.xxhash64("text", "path", "doc_id")})
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
-    scores = materialize(license_scores(rows), "license_scores")
+    scores = materialize(license_scores(rows).union(text_scores(rows)), "license_scores")
     best = F.min(F.struct((-F.col("score")).alias("minus"), "license", F.col("line")))
     own = scores.groupBy(F.col("k1").alias("o1"), F.col("k2").alias("o2")).agg(
         best.alias("best"), F.min(F.when(F.col("line") < 0, F.struct((-F.col("score")).alias("minus"), "license"))).alias("whole")
