@@ -2,7 +2,9 @@
 
 All of it runs as DataFrame expressions. Units compared to the short notices are the lines that
 mention a license (headers) and, for texts with such a line, the whole text (license files). Beside them
-whole texts are compared to the full texts of ``license_texts``, and an SPDX-License-Identifier line names its license. Term
+whole texts are compared to the full texts of ``license_texts``, and blocks of lines (runs of comment lines or of other
+lines that are not blank, and their paragraphs) that mention a license to full texts, standard headers and the short notices, so it does not
+matter where a notice is wrapped; an SPDX-License-Identifier line names its license. Term
 weights are tf x idf with document frequencies counted over all texts; words outside the templates
 have the weight of a word never seen, so they only lengthen a unit's vector. A file takes the license
 of its best line or of its whole text; else that of the nearest directory above it, its own first,
@@ -15,6 +17,7 @@ are judged alike, each by itself. Only the named columns are read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,7 +49,28 @@ TEMPLATES = {
     ),
 }
 
+_GPL = (
+    "{0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software "
+    "Foundation, either version {2} of the License, or (at your option) any later version. {0} is distributed in the hope that it will be "
+    "useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+    "{1} for more details. You should have received a copy of the GNU {1} along with this program. If not, see https://www.gnu.org/licenses/."
+)
+# Standard headers in full, as the licenses print them; blocks of lines are compared to these.
+HEADERS = {
+    "AGPL-3.0": _GPL.format("This program", "Affero General Public License", 3),
+    "Apache-2.0": TEMPLATES["Apache-2.0-header"] + (
+        " Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+        "permissions and limitations under the License."
+    ),
+    "GPL-2.0": _GPL.format("This program", "General Public License", 2),
+    "GPL-3.0": _GPL.format("This program", "General Public License", 3),
+    "LGPL-2.1": _GPL.format("This library", "Lesser General Public License", "2.1"),
+    "LGPL-3.0": _GPL.format("This library", "Lesser General Public License", 3),
+}
+
 SPDX = r"(?i)SPDX-License-Identifier:\s*(\(*[a-z0-9][a-z0-9.+-]*\)*(?:\s+(?:OR|AND|WITH)\s+\(*[a-z0-9][a-z0-9.+-]*\)*)*)"
+COMMENT = r"^\s*(?:#|//|/\*|\*|--|;|%|<!--|\.\.\s|(?i:rem)\s)"
 MENTION = r"(?i)licen[cs]e|copyright|spdx|all rights reserved|public domain"
 LEAST_COSINE = 0.6
 LEAST_FULL = 0.8  # full texts hold so many common words that prose comes near 0.6
@@ -64,21 +88,37 @@ def full_texts() -> dict[str, str]:
     return {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 
 
+def _blocks(parting: str, which: int) -> tuple[Column, Callable[[Column], Column], Column]:
+    """The kind of every line, where the kind turns, and from that in ``_turns``: runs of ``_lines`` that match ``parting`` and are of a kind, comments or not, as (line, unit); only those that mention a license."""
+    line = lambda i: F.get("_lines", i)
+    kind = lambda i: F.when(~line(i).rlike(parting), 0).when(line(i).rlike(COMMENT), 1).otherwise(2)
+    kinds = F.transform(F.sequence(F.lit(0), F.size("_lines") - 1), kind)
+    turns = lambda k: F.filter(F.sequence(F.lit(0), F.size(k) - 1), lambda i: (i == 0) | (F.get(k, i) != F.get(k, i - 1)))
+    starts = F.col(f"_turns{which}")
+    stops = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size("_lines")))
+    unit = lambda a, b: F.struct((a * 2 + which).alias("line"), F.array_join(F.slice("_lines", a + 1, b - a), "\n").alias("unit"))
+    return kinds, turns, F.filter(F.zip_with(starts, stops, unit), lambda s: s.unit.rlike(MENTION))
+
+
 def _reaches(unit: Column, vocabulary: list[str], least: Column) -> Column:
     """Whether a unit of these words can have a cosine of ``least`` to anything; if not, it surely has not.
 
-    No weight is above that of a word never seen. So of the squared length the words in the vocabulary, n, have n ** 2 such
-    weights squared at most, and those outside it one each at least.
+    No weight is above that of a word never seen, and a word outside the vocabulary has just that. So of the squared length, in such
+    weights squared, words in the vocabulary have the sum of their counts squared at most, and the others their number at least.
     """
     known = F.array_intersect(F.array_distinct(unit), F.split(F.lit(" ".join(vocabulary)), " "))
-    held = F.transform(F.array(known), lambda k: F.size(F.filter(unit, lambda w: F.array_contains(k, w))))[0].cast("double")  # known is found once
-    return held**2 * (1 - (least - 1e-6) ** 2) >= (least - 1e-6) ** 2 * (F.size(unit) - held)
+    # Arrays of one element, so that each step is worked out once.
+    counts = F.transform(F.array(known), lambda k: F.transform(k, lambda x: F.size(F.filter(unit, lambda w: w == x)).cast("double")))
+    total = lambda c, f: F.aggregate(c, F.lit(0.0), lambda n, x: n + f(x))
+    square = (least - 1e-6) ** 2
+    enough = lambda c: total(c, lambda x: x * x) * (1 - square) >= square * (F.size(unit) - total(c, lambda x: x))
+    return F.transform(counts, enough)[0]
 
 
 def text_scores(files: DataFrame) -> DataFrame:
-    """(k1, k2, line, license, score) of whole texts (line -1) of ``keyed`` files by full texts, and of SPDX lines."""
+    """(k1, k2, line, license, score) of whole texts (line -1) and blocks of lines of ``keyed`` files, by full texts, headers, notices and SPDX."""
     spark, full = files.sparkSession, full_texts()
-    patterns = {f"{k}-full": v for k, v in full.items()}
+    patterns = {f"{k}-full": v for k, v in full.items()} | {f"{k}-block": v for k, v in HEADERS.items()} | TEMPLATES
     known = _templates(spark, patterns)
     listing = sorted({w for row in known.collect() for w in row.words})
     vocabulary = spark.createDataFrame([(w,) for w in listing], "term string")
@@ -91,11 +131,19 @@ def text_scores(files: DataFrame) -> DataFrame:
 
     rows = files.select("k1", "k2", "text").filter(F.col("text").rlike(MENTION)).distinct()
     rows = rows.withColumn("_lines", F.split("text", "\n", -1))
+    for which, parting in enumerate((r"\S", r"[a-zA-Z0-9]")):
+        kinds, turns, units = _blocks(parting, which)
+        rows = rows.withColumn(f"_kinds{which}", kinds)
+        rows = rows.withColumn(f"_turns{which}", turns(F.col(f"_kinds{which}")))
+        rows = rows.withColumn(f"_units{which}", units)
+    others = F.filter("_units1", lambda s: ~F.exists("_units0", lambda t: t.unit == s.unit))  # a block of one paragraph counts once
     whole = F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit")))
-    units = F.transform(whole, lambda s: F.struct(s.line.alias("line"), words(s.unit).alias("words")))
-    near = F.filter(units, lambda s: _reaches(s.words, listing, F.lit(LEAST_FULL)))
+    units = F.transform(F.concat(whole, "_units0", others), lambda s: F.struct(s.line.alias("line"), words(s.unit).alias("words")))
+    near = F.filter(units, lambda s: _reaches(s.words, listing, F.when(s.line < 0, LEAST_FULL).otherwise(LEAST_COSINE)))
     units = rows.select("k1", "k2", F.inline_outer(near)).filter("line IS NOT NULL")
-    scores = _best(units, known, idf, F.log(F.lit(1.0 + n)) + 1, F.col("score") >= LEAST_FULL)
+    least = F.when(F.col("template").endswith("-full"), LEAST_FULL).otherwise(LEAST_COSINE)
+    allowed = (F.col("line") >= 0) | F.col("template").endswith("-full")
+    scores = _best(units, known, idf, F.log(F.lit(1.0 + n)) + 1, allowed & (F.col("score") >= least))
     named = F.filter(
         F.transform("_lines", lambda s, i: F.struct((i * 2).alias("line"), F.regexp_extract(s, SPDX, 1).alias("license"))), lambda s: s.license != ""
     )
@@ -148,7 +196,7 @@ def _best(units: DataFrame, known: DataFrame, idf: DataFrame, unseen: Column, en
     ranked = scored.select(*keys, score.alias("score"), "template").filter(enough)
     best = F.min(F.struct((-F.col("score")).alias("minus"), F.col("template")))
     chosen = ranked.groupBy(*keys).agg(best.alias("best"))
-    return chosen.select(*keys, F.regexp_replace("best.template", "-(header|full)$", "").alias("license"), (-F.col("best.minus")).alias("score"))
+    return chosen.select(*keys, F.regexp_replace("best.template", "-(header|block|full)$", "").alias("license"), (-F.col("best.minus")).alias("score"))
 
 
 def _parent(path: Column) -> Column:

@@ -1,7 +1,9 @@
-"""Planted license files and SPDX lines, with made-up project names around them."""
+"""Planted license files, wrapped headers and SPDX lines, with made-up project names around them."""
 
 import textwrap
 
+import pytest
+
 from recordloom.llm import licenses
 
 SCHEMA = "doc_id bigint, path string, text string"
@@ -13,6 +15,10 @@ def scan(spark, rows):
     return {r.doc_id: (r.license, r.how, r.origin) for r in licenses.license_scan(spark.createDataFrame(rows, SCHEMA)).collect()}
 
 
+def comment(text, mark, width):
+    return "\n".join(f"{mark} {line}".rstrip() for line in textwrap.wrap(text, width))
+
+
 def test_license_files_grant_their_directories(spark):
     full = licenses.full_texts()
     assert {"MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "ISC"} <= set(full)
@@ -29,6 +35,16 @@ def test_license_files_grant_their_directories(spark):
     assert out[999] == (None, "none", None)
 
 
+@pytest.mark.parametrize("width", [36, 52, 70, 100])
+@pytest.mark.parametrize("mark", ["#", "//", " *"])
+def test_wrapped_headers(spark, width, mark):
+    texts = licenses.HEADERS | {"MPL-2.0": licenses.TEMPLATES["MPL-2.0"], "MIT": licenses.full_texts()["MIT"]}
+    rows = [
+        (i, f"a{i}/code", f"{mark} zebra.py\n{mark} Copyright 2020 Zoe Example\n{mark}\n{comment(text, mark, width)}\n{CODE}") for i, text in enumerate(texts.values())
+    ]
+    assert [v[:2] for _, v in sorted(scan(spark, rows).items())] == [(name, "header") for name in texts]
+
+
 def test_spdx_lines(spark):
     names = ["MIT", "Apache-2.0", "GPL-2.0-only WITH Classpath-exception-2.0", "(MIT OR Apache-2.0)", "BSD-3-Clause"]
     rows = [(i, f"a{i}/code", f"/* SPDX-License-Identifier: {name} */\n{CODE}") for i, name in enumerate(names)]
