@@ -5,8 +5,9 @@ Texts with the same set of n-grams are one class from the start, weighed by its
 coordinates are chosen by the node's own seed, and for each the members are split by their value, so sets sharing a
 sampled token go the same way. A node is left alone once it is small, or once its members are so alike
 that splitting no longer separates them; then all its members are compared. The root chooses
-as many coordinates as runs are needed for ``RECALL``: a pair at the threshold misses all of them with a
-probability of (1 - 0.8) ** runs. Deeper nodes choose ``CHOSEN`` coordinates each.
+as many coordinates as runs are needed for ``RECALL``. Deeper nodes choose ``CHOSEN`` coordinates each, so a pair at
+the threshold that shares a node is lost below it with a probability q = (1 - 0.8 * (1 - q)) ** 2 at most, 0.0625, and
+altogether with (1 - 0.8 * (1 - q)) ** runs, 3.8e-6 for 9 runs.
 
 Comparing has two steps, both in blocks of bounded size, so a node that holds a third of all rows is many
 tasks. Minhash sketches first tell which members have any likely partner; then exact sets of n-grams
@@ -42,7 +43,7 @@ SMALL = 256  # members of a node that are compared without splitting further
 DEEPEST = 16
 ALIKE = 0.6  # of a node's pairs sharing a coordinate's value: splitting is of no use
 BLOCK = 512  # members of a block; two blocks meet in one task
-LIKELY = 0.6  # sketch similarity below which a pair at the threshold lies with a probability under 1e-8
+LIKELY = 0.6  # sketch similarity below which a pair at the threshold lies with a probability of 7.6e-8
 
 find_words = re.compile(r"\w+").findall
 
@@ -392,6 +393,22 @@ def components(edges: DataFrame) -> DataFrame:
     return final.withColumnRenamed("to", "root")
 
 
+def root_runs(recall: float) -> int:
+    """Coordinates that the root chooses, so that a pair at the threshold is lost with 1 - ``recall`` at most, however deep the splits.
+
+    The sketches' loss counts too.
+    """
+    below = 0.0  # what a shared node loses, level by level
+    for _ in range(DEEPEST - 1):
+        below = (1 - THRESHOLD * (1 - below)) ** CHOSEN
+    kept = THRESHOLD * (1 - below)
+    least = math.ceil(LIKELY * COORDINATES)
+    unlikely = sum(math.comb(COORDINATES, k) * THRESHOLD**k * (1 - THRESHOLD) ** (COORDINATES - k) for k in range(least))
+    if unlikely >= 1 - recall:
+        raise ValueError(f"the sketches alone lose {unlikely:.1e} of the pairs at the threshold")
+    return math.ceil(math.log(1 - recall - unlikely) / math.log(1 - kept))
+
+
 def near_copies(docs: DataFrame, n: int = WORDS, recall: float = RECALL) -> DataFrame:
     """Per document: doc_id, k1, k2, class_id (least id among its near copies and theirs) and n_links (other documents at the threshold)."""
     rows = keyed(docs)
@@ -406,8 +423,7 @@ def near_copies(docs: DataFrame, n: int = WORDS, recall: float = RECALL) -> Data
     sketches = sets.select(*ROW, "minhashes").join(classes.select("id", "sample.*"), ROW).select("id", "minhashes")
     sketches = materialize(sketches.dropDuplicates(["id"]), "sketches")
 
-    runs = math.ceil(math.log(1 - recall) / math.log(1 - THRESHOLD))
-    places = leaves(sketches, runs)
+    places = leaves(sketches, root_runs(recall))
     lists = materialize(places.groupBy("id").agg(F.array_sort(F.collect_list("node")).alias("nodes")), "node_lists")
     members = lists.join(sketches, "id").select("id", "minhashes", "nodes", F.lit(1).alias("one"), F.explode("nodes").alias("node"))
     likely = materialize(likely_members(members), "likely")
