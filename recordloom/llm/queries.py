@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, innerproduct, jaccard, licenses, lines, pieces, quality, secrets, toxicity
+from . import bytepairs, decontaminate, html, innerproduct, jaccard, licenses, lines, pieces, quality, ranked, secrets, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,9 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": html.query,
     "op9_secret_scan": secrets.query,
     "op10_toxicity": toxicity.query,
+    "op11_ranked_search": ranked.query,
+    "op12_whitening": whitening.query,
+    "op13_byte_bpe": bytepairs.query,
 }
 
 ORACLE: dict[str, str] = {
@@ -29,4 +32,5 @@ ORACLE: dict[str, str] = {
     "op6_line_dedup": lines.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op9_secret_scan": secrets.SQL,
+    "op11_ranked_search": ranked.SQL,
 }
