@@ -47,6 +47,7 @@ RULES = (
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 
+RUN = 128  # matches whose lengths are summed together
 MOST_STRINGS = 64  # more alternatives than this are given up and cost only selectivity
 
 
@@ -128,21 +129,51 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
     return met.groupBy(*ROW).agg(F.collect_set("kind").alias("kinds"))
 
 
+def _held(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once: a lambda would work out an outer expression anew for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda n, x: n + x)
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
-    """Array of (start, order, stop, kind): offsets from the lengths of the matches and of the pieces between them."""
+    """Array of (start, order, stop, kind): offsets from the lengths of the matches and of the pieces between them.
+
+    Running sums in two steps, over runs of ``RUN`` matches and within each, so the work hardly grows faster than the matches.
+    """
     pattern = F.lit(rule.pattern)
-    found, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, rule.pattern, -1)
-    measured = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    total = lambda strings: F.aggregate(strings, F.lit(0), lambda n, s: n + F.char_length(s))
-
-    def span(match: Column, i: Column) -> Column:
-        start = total(F.slice(gaps, F.lit(1), i + 1)) + total(F.slice(found, F.lit(1), i))
-        return F.struct(
-            start.alias("start"), F.lit(order).alias("order"), (start + F.char_length(match)).alias("stop"),
-            F.lit(rule.kind).alias("kind"), (F.char_length(F.get(measured, i)) >= rule.least).alias("counts"),
-        )
-
-    return F.filter(F.transform(found, span), lambda s: s.counts)
+    sizes = F.struct(
+        F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.char_length).alias("found"),
+        F.transform(F.split(text, rule.pattern, -1), F.char_length).alias("gaps"),
+        F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda m: F.char_length(m) >= rule.least).alias("counts"),
+    )
+
+    def stepped(z: Column) -> Column:
+        steps = F.zip_with(F.slice(z.gaps, F.lit(1), F.size(z.found)), z.found, lambda g, m: g + m)
+        return _held(F.struct(z.found, z.gaps, z.counts, steps.alias("steps")), summed)
+
+    def summed(z: Column) -> Column:
+        runs = F.sequence(F.lit(0), F.floor((F.size(z.steps) - 1) / RUN).cast("int"))
+        totals = F.transform(runs, lambda r: _sum(F.slice(z.steps, r * RUN + 1, F.lit(RUN))))
+        return _held(F.struct(z.found, z.gaps, z.counts, z.steps, totals.alias("totals")), begun)
+
+    def begun(z: Column) -> Column:
+        before = F.transform(z.totals, lambda t, r: _sum(F.slice(z.totals, F.lit(1), r)))
+        return _held(F.struct(z.found, z.gaps, z.counts, z.steps, before.alias("before")), spans)
+
+    def spans(z: Column) -> Column:
+        def span(size: Column, i: Column) -> Column:
+            run = F.floor(i / RUN).cast("int")
+            start = F.get(z.before, run) + _sum(F.slice(z.steps, run * RUN + 1, i - run * RUN)) + F.get(z.gaps, i)
+            return _held(start, lambda at: F.struct(
+                at.alias("start"), F.lit(order).alias("order"), (at + size).alias("stop"), F.lit(rule.kind).alias("kind"), F.get(z.counts, i).alias("counts")
+            ))
+
+        return F.filter(F.transform(z.found, span), lambda s: s.counts)
+
+    return _held(sizes, stepped)
 
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
