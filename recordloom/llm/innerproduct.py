@@ -7,10 +7,12 @@ is a lower bound that goes with the query to all other shards, where a node is o
 whose upper bound (q . centre + |q| radius) still reaches their k-th score; nodes with the greater bounds come first, so
 that score rises early. Queries meet shards in blocks through an equi-join on the shard's number.
 
-Ties go to the smaller id. Vectors that are NULL or hold NULL or non-finite components take no part, vectors
-of different lengths never meet. Ids repeated with equal vectors count once; a NULL id takes no part. With fewer than k
-other vectors all are returned; an empty table gives no rows. Only the named columns are read. Scores
-are exact as long as they fit a long; components beyond 2^31 in size are refused with an error.
+Ties go to the smaller id. Vectors that are NULL or hold NULL or non-finite components take no part, nor do those of which 64 x
+is beyond a double; vectors of different lengths never meet. Ids repeated with equal vectors count once; a NULL id takes no part.
+Rows that share an id but not the vector are each a query of their own, with ranks of its own under the same id, and each a
+candidate for other ids; none is a candidate for its own id. With fewer than k other vectors all are returned; an empty table gives
+no rows. Only the named columns are read. Any finite component is taken: floor(64 x) is a double without rounding, products
+that floats cannot hold are worked out in integers of any size, and a score beyond a long counts as the nearest long.
 """
 
 from __future__ import annotations
@@ -64,18 +66,25 @@ class BallTree:
         self.centres, self.radii = np.array(centres), np.array(radii)
 
 
+def whole_numbers(x: np.ndarray) -> np.ndarray:
+    return np.array([[int(c) for c in row] for row in x.tolist()], object).reshape(x.shape)
+
+
 def search(ids: np.ndarray, x: np.ndarray, tree: BallTree, own: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int):
     """The best k rows of a shard for each query, among those scoring ``floor`` or more: query positions, ids, scores.
 
     ``ids`` holds for each row its smallest ids, padded with -1; a query is never its own candidate.
     """
-    top = int(np.abs(x).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(x.shape[1], 1)
-    exact = np.float64 if top < 2**53 else object
-    v, q = x.astype(exact), queries.astype(exact)
-    lengths = np.sqrt((queries.astype(float) ** 2).sum(1))
-    # Bounds are floats; what rounding may take away is given back.
-    bounds = queries.astype(float) @ tree.centres.T + lengths[:, None] * tree.radii
-    bounds += 1e-9 * (np.abs(bounds) + lengths[:, None] * (np.linalg.norm(tree.centres, axis=1) + tree.radii) + 1)
+    with np.errstate(all="ignore"):
+        top = np.abs(x).max(initial=0) * np.abs(queries).max(initial=0) * max(x.shape[1], 1)
+    narrow = top < 2**53  # then floats are exact
+    v, q = (x, queries) if narrow else (whole_numbers(x), whole_numbers(queries))
+    # Bounds are floats; what rounding may take away is given back, and what they cannot hold bounds nothing.
+    with np.errstate(all="ignore"):
+        lengths = np.sqrt((queries**2).sum(1))
+        bounds = queries @ tree.centres.T + lengths[:, None] * tree.radii
+        bounds += 1e-9 * (np.abs(bounds) + lengths[:, None] * (np.linalg.norm(tree.centres, axis=1) + tree.radii) + 1)
+    bounds = np.where(np.isfinite(bounds), bounds, np.inf)
     bar = floor.astype(float)  # the k-th score so far, or the given floor
     found: list[list[tuple]] = [[] for _ in queries]
     kept = np.full((len(queries), k), -np.inf)
@@ -93,7 +102,8 @@ def search(ids: np.ndarray, x: np.ndarray, tree: BallTree, own: np.ndarray, quer
             continue
         start, stop = tree.nodes[node]
         rows = tree.order[start:stop]
-        scores = (q[active] @ v[rows].T)
+        scores = q[active] @ v[rows].T
+        scores = scores.astype(np.int64) if narrow else np.clip(scores, -(2**63), 2**63 - 1).astype(np.int64)
         good = scores.astype(float) >= bar[active, None]
         at, col = np.nonzero(good)
         if not len(at):
@@ -114,26 +124,23 @@ def search(ids: np.ndarray, x: np.ndarray, tree: BallTree, own: np.ndarray, quer
         if not parts:
             continue
         values, members = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        if exact is np.float64:
-            best = np.lexsort((members, -values))
-        else:
-            best = np.array(sorted(range(len(values)), key=lambda j: (-values[j], members[j])), int)
+        best = np.lexsort((members, ~values))  # ~ falls as the value rises, and cannot overflow
         best = best[:k]
         positions += [i] * len(best)
         out_ids += members[best].tolist()
-        out_scores += [int(s) for s in values[best]]
+        out_scores += values[best].tolist()
     return positions, out_ids, out_scores
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(id, v): valid vectors as integers."""
+    """(id, v): valid vectors as whole numbers, in doubles."""
     x = F.col(vector_col)
-    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
-    fits = F.forall(x, lambda c: F.abs(c.cast("double")) < 2**25)
-    v = F.transform(x, lambda c: F.floor(c.cast("double") * SCALE).cast("int"))
+    scaled = lambda c: c.cast("double") * SCALE
+    bad = F.exists(x, lambda c: c.isNull() | F.isnan(scaled(c)) | (F.abs(scaled(c)) == float("inf")))
+    # From 2^53 on every double is whole; floor gives a long, which would not hold all of them.
+    v = F.transform(x, lambda c: F.when(F.abs(scaled(c)) < 2.0**53, F.floor(scaled(c)).cast("double")).otherwise(scaled(c)))
     valid = vectors.filter(F.col(id_col).isNotNull() & x.isNotNull()).filter(~bad & (F.size(x) > 0))
-    checked = F.when(fits, v).otherwise(F.raise_error(F.lit("a component is too large for an integer score")).cast("array<int>"))
-    return valid.select(F.col(id_col).cast("bigint").alias("id"), checked.alias("v")).distinct()
+    return valid.select(F.col(id_col).cast("bigint").alias("id"), v.alias("v")).distinct()
 
 
 PACKED = "shard int, dims int, n int, ids binary, v binary"
@@ -147,7 +154,7 @@ def _packed(distinct: DataFrame, k: int) -> DataFrame:
         ids = np.full((len(rows), k + 1), -1, np.int64)
         for i, own in enumerate(table.column("ids").to_pylist()):
             ids[i, : len(own)] = own
-        values = [[key[0].as_py()], [key[1].as_py()], [len(rows)], [ids.tobytes()], [np.array(rows, np.int32).tobytes()]]
+        values = [[key[0].as_py()], [key[1].as_py()], [len(rows)], [ids.tobytes()], [np.array(rows, float).tobytes()]]
         return pa.table([pa.array(c, t) for c, t in zip(values, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
                         names=["shard", "dims", "n", "ids", "v"])
 
@@ -162,37 +169,39 @@ def _searched(met: DataFrame, k: int, first: bool) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 if held[0] != (row["shard"], row["dims"]):
-                    x = np.frombuffer(row["v"], np.int32).reshape(row["n"], row["dims"]).astype(np.int64)
-                    held = (row["shard"], row["dims"]), np.frombuffer(row["ids"], np.int64).reshape(row["n"], k + 1), x, BallTree(x.astype(float))
+                    x = np.frombuffer(row["v"]).reshape(row["n"], row["dims"])
+                    held = (row["shard"], row["dims"]), np.frombuffer(row["ids"], np.int64).reshape(row["n"], k + 1), x, BallTree(x)
                 _, ids, x, tree = held
                 own = np.frombuffer(row["q_ids"], np.int64)
-                queries = np.frombuffer(row["q"], np.int32).reshape(len(own), row["dims"]).astype(np.int64)
+                queries = np.frombuffer(row["q"]).reshape(len(own), row["dims"])
+                versions = np.frombuffer(row["versions"], np.int64)
                 floor = np.full(len(own), -np.inf) if first else np.frombuffer(row["floors"], np.float64)
                 for at in range(0, len(own), BLOCK_ROWS):
                     part = slice(at, at + BLOCK_ROWS)
                     positions, found, scores = search(ids, x, tree, own[part], queries[part], floor[part], k)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[part][positions] if positions else [], pa.int64()), pa.array(found, pa.int64()), pa.array(scores, pa.int64())],
-                        names=["query_id", "vec_id", "score"],
+                        [*[pa.array(c[part][positions] if positions else [], pa.int64()) for c in (own, versions)], pa.array(found, pa.int64()), pa.array(scores, pa.int64())],
+                        names=["query_id", "version", "vec_id", "score"],
                     )
 
-    return met.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    return met.mapInArrow(run, "query_id bigint, version bigint, vec_id bigint, score bigint")
 
 
 def _blocks(queries: DataFrame, keys: list[str]) -> DataFrame:
-    """Queries of each key packed into one row: q_ids, q and floors as bytes."""
+    """Queries of each key packed into one row: q_ids, versions, q and floors as bytes."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        names = [*keys, "q_ids", "q", "floors"]
+        names = [*keys, "q_ids", "versions", "q", "floors"]
         ids = table.column("id").to_numpy().astype(np.int64)
-        vectors = np.array(table.column("v").to_pylist(), np.int32)
+        versions = table.column("version").to_numpy().astype(np.int64)
+        vectors = np.array(table.column("v").to_pylist(), float)
         floors = table.column("floor").to_numpy().astype(np.float64)
-        values = [*[[k.as_py()] for k in key], [ids.tobytes()], [vectors.tobytes()], [floors.tobytes()]]
-        kinds = [*[pa.int32()] * len(keys), pa.binary(), pa.binary(), pa.binary()]
+        values = [*[[k.as_py()] for k in key], [ids.tobytes()], [versions.tobytes()], [vectors.tobytes()], [floors.tobytes()]]
+        kinds = [*[pa.int32()] * len(keys), *[pa.binary()] * 4]
         return pa.table([pa.array(c, t) for c, t in zip(values, kinds)], names=names)
 
     fields = ", ".join(f"{k} int" for k in keys)
-    return queries.groupBy(*keys).applyInArrow(run, f"{fields}, q_ids binary, q binary, floors binary")
+    return queries.groupBy(*keys).applyInArrow(run, f"{fields}, q_ids binary, versions binary, q binary, floors binary")
 
 
 def top_inner_products(
@@ -208,17 +217,17 @@ def top_inner_products(
     shard = F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")
     packed = materialize(_packed(distinct.withColumn("shard", shard), k), "ball_tree_shards")
 
-    asked = rows.filter(is_query(F.col("id"))).select("id", "v", F.size("v").alias("dims"), shard.alias("home"))
+    asked = rows.filter(is_query(F.col("id"))).select("id", "v", F.xxhash64("v").alias("version"), F.size("v").alias("dims"), shard.alias("home"))
     sizes = asked.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("parts"))
-    asked = asked.join(sizes, "home").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+    asked = asked.join(sizes, "home").withColumn("part", F.pmod(F.xxhash64("id", "version"), F.col("parts")).cast("int")).drop("parts")
     asked = materialize(asked, "queries")
     # At home first. ``part`` splits a home shard that most queries share.
     home = _blocks(asked.withColumn("floor", F.lit(float("-inf"))), ["home", "dims", "part"])
     home = home.withColumnRenamed("home", "shard").join(packed, ["shard", "dims"])
     first = materialize(_searched(home, k, True), "home_results")
-    ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    bars = first.withColumn("_n", F.row_number().over(ranks)).filter(F.col("_n") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
-    led = asked.join(bars, "id", "left").fillna({"floor": float("-inf")})
+    ranks = Window.partitionBy("query_id", "version").orderBy(F.desc("score"), "vec_id")
+    bars = first.withColumn("_n", F.row_number().over(ranks)).filter(F.col("_n") == k).select(F.col("query_id").alias("id"), "version", F.col("score").cast("double").alias("floor"))
+    led = asked.join(bars, ["id", "version"], "left").fillna({"floor": float("-inf")})
     blocks = materialize(_blocks(led, ["home", "dims", "part"]), "query_blocks")
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home"))
     away = blocks.withColumn("shard", F.explode(others)).join(packed, ["shard", "dims"])
