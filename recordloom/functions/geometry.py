@@ -7,59 +7,94 @@ globe, an edge of 1 km is about 2 cm off and one of 10 km about 2 m at 41 degree
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# What remains of a valid text once numbers and repetitions are taken out.
-_SHAPES = ("POLYGON((p))", "MULTIPOLYGON(((p)))", "POLYGONEMPTY", "MULTIPOLYGONEMPTY")
-_NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:E[-+]?\d+)?"
+# Brackets and what stands between them, all of it kept.
+_CUTS = r"(?<=[()])|(?=[()])"
 
+# What remains of a valid text once the vertices of every ring are written as p; possessive, so many rings need no stack.
+_PARTS = r"\(\(p\)(?:,\(p\))*+\)"
+_SHAPE = rf"^(?:POLYGON{_PARTS}|MULTIPOLYGON\({_PARTS}(?:,{_PARTS})*+\)|(?:MULTI)?POLYGONEMPTY)$"
 
-def wkt_problem(wkt: Column) -> Column:
-    """Why a text is not a closed POLYGON or MULTIPOLYGON; NULL if it is one, is EMPTY or is NULL.
 
-    Parts are replaced step by step, each match being short: one pattern for a whole text of
-    thousands of vertices would exhaust the stack.
-    """
-    shape = F.regexp_replace(F.upper(wkt), rf"(?<![\d.]){_NUMBER}\s+{_NUMBER}", "p")
-    for pattern in (r"\s+", ",p", r",\(p\)", r",\(\(p\)\)"):
-        shape = F.regexp_replace(shape, pattern, "")
-    rings = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
+def _is_ring(token: Column) -> Column:
+    return token.rlike("[0-9]")
+
+
+def _rings(tokens: Column) -> Column:
+    """Every ring as its vertices: x, y, and whether the text was two plain numbers."""
+
+    def vertex(parts: Column) -> Column:
+        x, y = (F.get(parts, F.lit(i)).try_cast("double") for i in (0, 1))
+        return F.struct(x.alias("x"), y.alias("y"), (F.size(parts) == 2).alias("ok"))
+
+    def ring(token: Column) -> Column:
+        # A cast would also take NaN, Infinity and the type letters of literals.
+        plain = ~token.rlike("[A-DF-Za-df-z]")
+        # The inner lambda splits each vertex once; its parts are then a variable.
+        words = F.transform(F.split(token, ","), lambda v: F.split(F.btrim(v, F.lit(" \t\r\n")), r"\s+"))
+        return F.struct(plain.alias("plain"), F.transform(words, vertex).alias("v"))
+
+    return F.transform(F.filter(tokens, _is_ring), ring)
+
+
+def _shape(tokens: Column) -> Column:
+    return F.array_join(F.transform(tokens, lambda t: F.when(_is_ring(t), "p").otherwise(F.upper(F.regexp_replace(t, r"\s+", "")))), "")
+
+
+def _problem(shape: Column, rings: Column) -> Column:
+    def is_read(ring: Column) -> Column:
+        return ring.plain & F.forall(ring.v, lambda v: v.ok & v.x.isNotNull() & v.y.isNotNull())
 
     def is_closed(ring: Column) -> Column:
-        vertices = F.split(ring, ",")
-        first, last = (F.split(F.btrim(F.element_at(vertices, i)), r"\s+") for i in (1, -1))
-        same = [F.get(first, F.lit(i)).try_cast("double") == F.get(last, F.lit(i)).try_cast("double") for i in (0, 1)]
-        return (F.size(vertices) >= 4) & same[0] & same[1]
+        first, last = F.element_at(ring.v, 1), F.element_at(ring.v, -1)
+        return (F.size(ring.v) >= 4) & (first.x == last.x) & (first.y == last.y)
 
+    readable = shape.rlike(_SHAPE) & F.forall(rings, is_read)
     return (
-        F.when(wkt.isNull(), F.lit(None).cast("string"))
-        .when(~shape.isin(*_SHAPES), "not the text of a polygon")
-        .when(~F.coalesce(F.forall(rings, is_closed), F.lit(False)), "a ring that is not closed")
+        F.when(shape.isNull(), F.lit(None).cast("string"))
+        .when(~F.coalesce(readable, F.lit(False)), "not the text of a polygon")
+        .when(~F.forall(rings, is_closed), "a ring that is not closed")
     )
 
 
-def wkt_edges(wkt: Column) -> Column:
-    """Edges of a POLYGON or MULTIPOLYGON text: every ring, holes included."""
-    rings = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
-
-    def vertex(text: Column) -> Column:
-        parts = F.split(F.btrim(text), r"\s+")
-        return F.struct(parts[0].cast("double").alias("x"), parts[1].cast("double").alias("y"))
-
+def _edges(rings: Column) -> Column:
     def ring_edges(ring: Column) -> Column:
-        vertices = F.transform(F.split(ring, ","), vertex)
-        steps = F.size(vertices) - 1
+        steps = F.greatest(F.size(ring.v) - 1, F.lit(0))
         return F.zip_with(
-            F.slice(vertices, F.lit(1), steps),
-            F.slice(vertices, F.lit(2), steps),
+            F.slice(ring.v, F.lit(1), steps),
+            F.slice(ring.v, F.lit(2), steps),
             lambda a, b: F.struct(a.x.alias("x1"), a.y.alias("y1"), b.x.alias("x2"), b.y.alias("y2")),
         )
 
     return F.flatten(F.transform(rings, ring_edges))
 
 
+def with_polygon(df: DataFrame, wkt: str) -> DataFrame:
+    """Add ``edges`` and ``problem`` of a text column, cutting every text once.
+
+    In steps, each of which is used more than once by the next: the optimizer then keeps them apart, and
+    nothing is worked out twice. A filter on the outcome would undo that unless the frame is written first.
+    """
+    cut = df.withColumn("_tokens", F.split(F.col(wkt), _CUTS))
+    read = cut.withColumns({"_rings": _rings(F.col("_tokens")), "_shape": _shape(F.col("_tokens"))})
+    told = read.withColumns({"edges": _edges(F.col("_rings")), "problem": _problem(F.col("_shape"), F.col("_rings"))})
+    return told.drop("_tokens", "_rings", "_shape")
+
+
+def wkt_problem(wkt: Column) -> Column:
+    """Why a text is not a closed POLYGON or MULTIPOLYGON; NULL if it is one, is EMPTY or is NULL."""
+    tokens = F.split(wkt, _CUTS)
+    return _problem(_shape(tokens), _rings(tokens))
+
+
+def wkt_edges(wkt: Column) -> Column:
+    """Edges of a POLYGON or MULTIPOLYGON text: every ring, holes included."""
+    return _edges(_rings(F.split(wkt, _CUTS)))
+
+
 def bounds(edges: Column) -> dict[str, Column]:
     """Bounding box; closed rings start an edge at every vertex."""
     return {

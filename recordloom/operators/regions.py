@@ -5,11 +5,13 @@ hold points are found first (one distinct, so a spot that holds a third of all
 points counts once). For these cells the regions that can matter are worked out by
 equi-joins on grid tiles and stored as two small tables:
 
-* ``inside``: per cell the regions that may contain a point of it, with only the edges
-  a ray from the cell can meet, or none if the region covers the whole cell;
-* ``near``: per cell not wholly covered, the edges that may be nearest to a point of it.
+* ``inside``: what lies inside a region, as tiles of any level that it covers as a whole and
+  cells on its border, these with only the edges a ray from the cell can meet. Each row of
+  cells is cut into tiles for itself, so a region adds rows in proportion to its border;
+* ``near``: per unit of cells not wholly covered, the edges that may be nearest to a point of it,
+  and ``units``, which names the unit of every such cell.
 
-Points then meet these tables by cell. Both are exact: whatever is left out is
+Points then meet these tables by tile and unit. Both are exact: whatever is left out is
 farther than something kept, for every point of the cell.
 
 Tiles: level ``L`` has tiles of ``cell * 2**L`` degrees, so the tile of a cell is its
@@ -22,13 +24,14 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_borough, fill_zip
-from ..functions.geometry import bounds, contains, distance, segments, shrink, wkt_edges, wkt_problem
-from ..sources.scratch import materialize, materialize_measured
+from ..functions.geometry import bounds, contains, distance, segments, shrink, with_polygon, wkt_problem
+from ..sources.scratch import byte_count, materialize, materialize_measured, materialize_observed
 from .filters import needs_region
 from .joins import BROADCAST_BYTES, ROWS_PER_TASK, sized_join
 from .projection import replace_columns
@@ -43,6 +46,12 @@ WORLD = 512.0
 # Edges that start in one tile of so many cells are looked at together.
 PIECE_CELLS = 2
 
+# Tiles inside a region have sides of 1, 4, 16, ... cells: two levels apart.
+TILE_STEP = 2
+
+# How far an edge may lie from where its interpolated course says, in degrees; rounding stays far below.
+WIDTH = 1e-9
+
 # Distances are ranked after rounding to 1e-9; candidates are kept a little beyond a tie.
 SLACK = 1e-8
 
@@ -51,16 +60,21 @@ NOWHERE = -(1 << 40)
 
 TILE = ["level", "tx", "ty"]
 CELL_KEY = ["cx", "cy"]
+NEAR_KEY = ["size", "ux", "uy"]
 BOX = ["xmin", "xmax", "ymin", "ymax"]
 
 
 @dataclass(frozen=True)
 class RegionIndex:
-    """Candidate regions per grid cell, as written tables of known size."""
+    """Candidate regions of the occupied ``cells``, as written tables of known size; ``levels`` are those of ``inside``."""
 
     cell: float
+    cells: DataFrame
     inside: DataFrame
     inside_bytes: int
+    levels: tuple[int, ...]
+    units: DataFrame | None = None
+    units_bytes: int = 0
     near: DataFrame | None = None
     near_bytes: int = 0
 
@@ -93,21 +107,17 @@ def parse_regions(seed: DataFrame, wkt: str = "geom_wkt", strict: bool = True) -
 
     A text that is no closed polygon fails the job, as the records in it would go to a neighbour;
     ``strict=False`` leaves it out (see ``unreadable_regions``). NULL and EMPTY have no edges.
-    Written out, so that the numbers stay the same for all readers.
+    Written out before anything is asked of the outcome: edges and verdict come from one reading of the
+    text, and the numbers stay the same for all readers.
     """
-    problem = wkt_problem(F.col(wkt))
-    if strict:
-        failed = F.raise_error(F.concat(F.lit("region text: "), problem)).cast("boolean")
-        seed = seed.filter(F.when(problem.isNull(), True).otherwise(failed))
-    else:
-        seed = seed.filter(problem.isNull())
-    parsed = seed.select(
-        F.monotonically_increasing_id().alias("region_id"),
-        F.col("zip_code").alias("derived_zip"),
-        F.col("borough").alias("derived_borough"),
-        wkt_edges(F.col(wkt)).alias("edges"),
-    ).filter(F.size("edges") > 0)
-    return materialize(parsed.withColumns(bounds(F.col("edges"))), "regions")
+    texts = seed.select(F.col("zip_code").alias("derived_zip"), F.col("borough").alias("derived_borough"), F.col(wkt).alias("_wkt"))
+    parsed = with_polygon(texts, "_wkt").drop("_wkt").withColumn("region_id", F.monotonically_increasing_id())
+    bad = F.count_if(F.col("problem").isNotNull())
+    regions, seen = materialize_observed(parsed.withColumns(bounds(F.col("edges"))), "regions", bad=bad)
+    if strict and seen["bad"]:
+        failed = F.raise_error(F.concat(F.lit("region text: "), F.col("problem")))
+        regions.filter("problem is not null").select(failed).collect()
+    return regions.filter("problem is null and size(edges) > 0").drop("problem")
 
 
 def cell_columns(x: Column, y: Column, cell: float) -> dict[str, Column]:
@@ -125,7 +135,12 @@ def occupied_cells(points: DataFrame, x: Column, y: Column, cell: float = CELL)
 
     That one matches no region and no point.
     """
-    return points.select(*[c.alias(n) for n, c in cell_columns(x, y, cell).items()]).distinct()
+    return cells_of(points.select(*[c.alias(n) for n, c in cell_columns(x, y, cell).items()]))
+
+
+def cells_of(points: DataFrame) -> DataFrame:
+    """The occupied cells of ``as_points``."""
+    return points.select(*CELL_KEY).distinct()
 
 
 # ---- the tile index ---------------------------------------------------------------------------
@@ -235,24 +250,78 @@ def _edge_rows(regions: DataFrame, cell: float) -> DataFrame:
     return edges.withColumn("cy", F.explode(F.sequence(F.ceil(low / cell) - 1, F.floor(high / cell))))
 
 
+def _columns_touched(e: Column, cell: float) -> Column:
+    """The cells of the row ``cy`` that an edge runs through, or as near to as ``WIDTH``."""
+    y0, y1 = F.col("cy") * cell, (F.col("cy") + 1) * cell
+    slope = F.when(e.y1 == e.y2, 0.0).otherwise((e.x2 - e.x1) / (e.y2 - e.y1))
+
+    def course(y: Column, x: Column, at: Column) -> Column:
+        """The edge's x where it enters or leaves the row; its own end where that lies in the row."""
+        return F.when(y.between(y0, y1), x).otherwise(x + (F.least(F.greatest(y, y0), y1) - y) * at)
+
+    a, b = course(e.y1, e.x1, slope), course(e.y2, e.x2, slope)
+    return F.sequence(F.floor((F.least(a, b) - WIDTH) / cell), F.floor((F.greatest(a, b) + WIDTH) / cell))
+
+
+def _tiles_of_runs(runs: str, cell: float) -> Column:
+    """The largest tiles (level, tx) that make up runs of cells ``first`` to ``last``: of each level at most six a run.
+
+    On a level, the tiles ``low`` to ``high`` lie inside the run; those that lie in a tile of the next level that does, too,
+    the children of ``up`` to ``upto``, are left to that one. One text, as nested lambdas are slow to put together.
+    """
+    above = f"(l + {TILE_STEP})"
+    return F.expr(
+        f"""
+        flatten(flatten(transform({runs}, r -> transform(
+            transform(sequence(0, {_top_level(cell)}, {TILE_STEP}), l -> struct(l AS level,
+                shiftright(r.first + shiftleft(1L, l) - 1, l) AS low, shiftright(r.last + 1, l) - 1 AS high,
+                shiftright(r.first + shiftleft(1L, {above}) - 1, {above}) AS up, shiftright(r.last + 1, {above}) - 1 AS upto)),
+            s -> transform(
+                CASE WHEN s.low > s.high THEN array()
+                     WHEN s.up > s.upto THEN sequence(s.low, s.high)
+                     ELSE filter(sequence(s.low, s.low + {2 << TILE_STEP}), t -> t < shiftleft(s.up, {TILE_STEP}))
+                          || filter(sequence(s.high - {2 << TILE_STEP}, s.high), t -> t >= shiftleft(s.upto + 1, {TILE_STEP})) END,
+                t -> struct(s.level AS level, t AS tx))))))
+        """
+    )
+
+
 def _inside(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
-    """Cells meet the edges of their own row only, so a large region's edges are spread over its rows."""
-    x0, x1, y0, y1 = (F.col(c) for c in UNIT_BOX[:4])
-
-    def in_reach(e: Column) -> Column:
-        _, east, low, high = _box_of(e)
-        return (high >= y0) & (low <= y1) & (east >= x0)
-
-    pairs = _with_box(_as_units(candidate_regions(cells, regions, cell)), cell)
-    met = pairs.join(_edge_rows(regions, cell), ["region_id", "cy"]).filter(in_reach(F.col("e")))
-    per_cell = met.groupBy(*CELL_KEY, "region_id", "derived_zip", "derived_borough", *UNIT_BOX[:4])
-    # A cell that no edge's box touches lies on one side of the region as a whole.
-    listed = per_cell.agg(F.collect_list("e").alias("edges"), F.max(_box_of(F.col("e"))[0] <= x1).alias("touched"))
-    centre = contains(F.col("edges"), (x0 + x1) / 2, (y0 + y1) / 2)
-    judged = listed.withColumn("whole", ~F.col("touched") & centre)
-    return judged.filter("touched or whole").select(
-        *CELL_KEY, "derived_zip", "derived_borough", "whole", F.filter("edges", lambda e: F.col("touched")).alias("edges")
+    """(level, tx, cy, derived_zip, derived_borough, whole, edges), region by region and row by row of cells.
+
+    Where no edge runs through, a run of cells lies on one side of the region as a whole. Rows without
+    points are left out, and so are single cells without any.
+    """
+    occupied_rows = cells.select("cy").distinct()
+    rows = _edge_rows(regions, cell).join(occupied_rows, "cy", "left_semi")
+    rows = rows.groupBy("region_id", "cy", "derived_zip", "derived_borough").agg(F.collect_list("e").alias("edges"))
+    columns = F.flatten(F.transform("edges", lambda e: _columns_touched(e, cell)))
+    rows = rows.withColumn("touched", F.array_sort(F.array_distinct(columns)))
+    n = F.size("touched") - 1
+    gaps = F.zip_with(
+        F.slice("touched", F.lit(1), n), F.slice("touched", F.lit(2), n),
+        lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("last")),
     )
+    middle = (F.col("cy") + 0.5) * cell
+    runs = F.filter(gaps, lambda g: (g.first <= g.last) & contains(F.col("edges"), (g.first + 0.5) * cell, middle))
+    rows = rows.withColumn("runs", runs)
+    border = F.transform("touched", lambda c: F.struct(F.lit(0).alias("level"), c.alias("tx"), F.lit(False).alias("whole")))
+    whole = F.transform(_tiles_of_runs("runs", cell), lambda t: F.struct(t.level, t.tx, F.lit(True).alias("whole")))
+    listed = rows.select("derived_zip", "derived_borough", "cy", "edges", F.explode(F.concat(border, whole)).alias("t"))
+    placed = listed.select("derived_zip", "derived_borough", "cy", "edges", "t.*")
+    single = F.when(F.col("level") == 0, F.col("tx"))
+    known = cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"))
+    placed = placed.join(known, (single == F.col("_cx")) & (F.col("cy") == F.col("_cy")), "left").filter("level > 0 or _cx is not null")
+    in_reach = F.filter("edges", lambda e: ~F.col("whole") & (F.greatest(e.x1, e.x2) >= F.col("tx") * cell))
+    return placed.select("level", "tx", "cy", "derived_zip", "derived_borough", "whole", in_reach.alias("edges"))
+
+
+def _at_levels(cells: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    """Rows with a cell once for each of the levels, with the tile of its row as level, tx."""
+    if levels == (0,):
+        return cells.withColumns({"level": F.lit(0), "tx": F.col("cx")})
+    leveled = cells.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    return leveled.withColumn("tx", F.expr("shiftright(cx, level)"))
 
 
 def _pieces(regions: DataFrame, cell: float) -> DataFrame:
@@ -274,7 +343,8 @@ def _pieces(regions: DataFrame, cell: float) -> DataFrame:
     return materialize(pieces.drop("side", "tx", "ty").withColumn("region_id", F.monotonically_increasing_id()), "pieces")
 
 
-def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
+def _near(cells: DataFrame, regions: DataFrame, cell: float) -> tuple[DataFrame, int, DataFrame, int]:
+    """The unit of every cell (cx, cy, size, ux, uy), the edges near each unit, and the sizes of both tables."""
     top = F.lit(_top_level(cell))
     regions = _pieces(regions, cell)
     native = _native_level(regions, cell)
@@ -298,7 +368,8 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     grouped = found.withColumn("size", F.greatest(F.lit(0), F.col("at") - 3)).withColumns(
         {"ux": F.expr("shiftright(cx, size)"), "uy": F.expr("shiftright(cy, size)")}
     )
-    units = grouped.select("size", F.col("ux").alias("cx"), F.col("uy").alias("cy"), "at").distinct()
+    of_cells, of_cells_bytes = materialize_measured(grouped, "units")
+    units = of_cells.select("size", F.col("ux").alias("cx"), F.col("uy").alias("cy"), "at").distinct()
     units = _with_box(units, cell)
 
     # The boxes of the pieces found there bound the distance from any point of the unit.
@@ -325,32 +396,27 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     per_unit = shaped.groupBy(
         "size", F.col("cx").alias("ux"), F.col("cy").alias("uy"), "derived_zip", "derived_borough"
     ).agg(F.flatten(F.collect_list(segments(F.col("edges")))).alias("segments"))
-    return grouped.join(per_unit, ["size", "ux", "uy"]).select(*CELL_KEY, "derived_zip", "derived_borough", "segments")
+    return of_cells.drop("at"), of_cells_bytes, *materialize_measured(per_unit, "near")
 
 
 def index_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL, with_near: bool = True) -> RegionIndex:
     """Build the candidate tables for the occupied cells; ``near`` is only needed to look for the nearest."""
     cells = materialize(cells, "cells")
-    inside, inside_bytes = materialize_measured(_inside(cells, regions, cell), "inside")
+    covers = _inside(cells, regions, cell)
+    levels = F.bit_or(F.expr("shiftleft(1L, level)"))
+    inside, seen = materialize_observed(covers, "inside", bytes=byte_count(covers), levels=levels)
+    present = tuple(level for level in range(_top_level(cell) + 1) if (seen["levels"] or 1) >> level & 1)
     if not with_near:
-        return RegionIndex(cell, inside, inside_bytes)
-    covered = inside.filter("whole").select(*CELL_KEY).distinct()
+        return RegionIndex(cell, cells, inside, seen["bytes"], present)
+    whole = inside.filter("whole").select("level", "tx", "cy").distinct()
+    covered = _at_levels(cells, present).join(whole, ["level", "tx", "cy"], "left_semi").select(*CELL_KEY)
     open_cells = cells.join(covered, CELL_KEY, "left_anti")
-    near, near_bytes = materialize_measured(_near(open_cells, regions, cell), "near")
-    return RegionIndex(cell, inside, inside_bytes, near, near_bytes)
+    return RegionIndex(cell, cells, inside, seen["bytes"], present, *_near(open_cells, regions, cell))
 
 
 # ---- operators on points ----------------------------------------------------------------------
 
 
-def _at(table: DataFrame, prefix: str = "_at_") -> DataFrame:
-    return table.withColumnsRenamed({c: f"{prefix}{c}" for c in CELL_KEY})
-
-
-def _by_cell() -> list[tuple[Column, Column]]:
-    return [(F.col("cx"), F.col("_at_cx")), (F.col("cy"), F.col("_at_cy"))]
-
-
 def as_points(rows: DataFrame, key: str, x: Column, y: Column, cell: float) -> DataFrame:
     """Key, coordinates and grid cell, which is what the operators below take as points."""
     return rows.select(F.col(key), x.alias("x"), y.alias("y")).withColumns(
@@ -358,23 +424,35 @@ def as_points(rows: DataFrame, key: str, x: Column, y: Column, cell: float) -> D
     )
 
 
+def _on(*keys: str) -> list[tuple[Column, Column]]:
+    return [(F.col(k), F.col(f"_at_{k}")) for k in keys]
+
+
+def _at(table: DataFrame, *keys: str) -> DataFrame:
+    return table.withColumnsRenamed({k: f"_at_{k}" for k in keys})
+
+
 def containing(points: DataFrame, index: RegionIndex, key: str, multi: str = "all", **join) -> DataFrame:
     """(key, derived_zip, derived_borough) for every region that contains the point."""
-    paired = sized_join(points, _at(index.inside), _by_cell(), "inner", size=index.inside_bytes, **join)
+    tile = ["level", "tx", "cy"]
+    placed = _at_levels(points, index.levels)
+    paired = sized_join(placed, _at(index.inside, *tile), _on(*tile), "inner", size=index.inside_bytes, **join)
     hit = paired.filter(F.col("whole") | contains(F.col("edges"), F.col("x"), F.col("y")))
     hit = hit.select(key, "derived_zip", "derived_borough")
     return hit if multi == "all" else _first_per(hit, key, "derived_zip", "derived_borough")
 
 
 def without_match(points: DataFrame, matches: DataFrame, key: str, **join) -> DataFrame:
-    """Points whose key has no match."""
-    found = matches.select(F.col(key).alias("_found"))
-    return sized_join(points, found, [(F.col(key), F.col("_found"))], "left_anti", **join)
+    """Points whose key has no match; the keys that have one are written, so what finds them runs once."""
+    found, size = materialize_measured(matches.select(F.col(key).alias("_found")).distinct(), "matched")
+    return sized_join(points, found, [(F.col(key), F.col("_found"))], "left_anti", size=size, **join)
 
 
 def nearest(points: DataFrame, index: RegionIndex, key: str, **join) -> DataFrame:
     """(key, derived_zip, derived_borough) of the nearest region; ties go to the lower code, then borough."""
-    paired = sized_join(points, _at(index.near), _by_cell(), "inner", size=index.near_bytes, **join)
+    units = _at(index.units, *CELL_KEY)
+    placed = sized_join(points, units, _on(*CELL_KEY), "inner", size=index.units_bytes, **join)
+    paired = sized_join(placed, _at(index.near, *NEAR_KEY), _on(*NEAR_KEY), "inner", size=index.near_bytes, **join)
     far = distance(F.col("segments"), F.col("x"), F.col("y"), F.col("shrunk"))
     ranked = paired.select(key, "derived_zip", "derived_borough", far.alias("_far"))
     return _first_per(ranked, key, "_far", "derived_zip", "derived_borough").drop("_far")
@@ -394,18 +472,21 @@ def region_of(points: DataFrame, index: RegionIndex, key: str, multi: str = "all
     return exact.unionByName(nearest(without_match(points, exact, key, **join), index, key, **join))
 
 
-def _packed(table: DataFrame, name: str) -> DataFrame:
-    kept = [c for c in table.columns if c not in CELL_KEY]
-    return _at(table.groupBy(*CELL_KEY).agg(F.collect_list(F.struct(*kept)).alias(name)))
+def _by_cell(index: RegionIndex) -> DataFrame:
+    """Per occupied cell the regions that cover or may contain it, and its unit: one row to look at for a point."""
+    entry = F.struct("derived_zip", "derived_borough", "whole", "edges")
+    placed = _at_levels(index.cells, index.levels).join(index.inside, ["level", "tx", "cy"])
+    listed = placed.groupBy(*CELL_KEY).agg(F.collect_list(entry).alias("_inside"))
+    return index.cells.join(listed, CELL_KEY, "left").join(index.units, CELL_KEY, "left").filter("_inside is not null or size is not null")
 
 
-def _with_region_in_row(rows: DataFrame, index: RegionIndex, multi: str) -> DataFrame:
+def _with_region_in_row(rows: DataFrame, by_cell: DataFrame, index: RegionIndex, multi: str) -> DataFrame:
     """Both stages as map-side work: no shuffle of the rows, no join back by key."""
-    for table, name in ((index.inside, "_inside"), (index.near, "_near")):
-        joined = rows.withColumnsRenamed({"_cx": "cx", "_cy": "cy"}).join(
-            F.broadcast(_packed(table, name)), (F.col("cx") == F.col("_at_cx")) & (F.col("cy") == F.col("_at_cy")), "left"
-        )
-        rows = joined.drop("_at_cx", "_at_cy").withColumnsRenamed({"cx": "_cx", "cy": "_cy"})
+    cells = by_cell.withColumnsRenamed({c: f"_at_{c}" for c in CELL_KEY} | {c: f"_{c}" for c in NEAR_KEY})
+    rows = rows.join(F.broadcast(cells), (F.col("_cx") == F.col("_at_cx")) & (F.col("_cy") == F.col("_at_cy")), "left")
+    edges = index.near.groupBy(*NEAR_KEY).agg(F.collect_list(F.struct("derived_zip", "derived_borough", "segments")).alias("_near"))
+    unit = reduce(Column.__and__, [F.col(f"_{c}") == F.col(f"_at_{c}") for c in NEAR_KEY])
+    rows = rows.join(F.broadcast(_at(edges, *NEAR_KEY)), unit, "left")
 
     x, y = F.col("_x"), F.col("_y")
 
@@ -415,7 +496,8 @@ def _with_region_in_row(rows: DataFrame, index: RegionIndex, multi: str) -> Data
     def ranked(r: Column) -> Column:
         return F.struct(distance(r.segments, x, y, F.col("_shrunk")).alias("far"), r.derived_zip, r.derived_borough)
 
-    exact = F.transform(F.filter("_inside", lambda r: r.whole | contains(r.edges, x, y)), label)
+    candidates = F.coalesce(F.col("_inside"), F.array())
+    exact = F.transform(F.filter(candidates, lambda r: r.whole | contains(r.edges, x, y)), label)
     if multi != "all":
         exact = F.slice(F.array_sort(exact), 1, 1)
     closest = F.transform(F.array(F.array_min(F.transform("_near", ranked))), label)
@@ -447,10 +529,14 @@ def with_region(
     columns = [*rows.columns, "derived_zip", "derived_borough"]
     wanted = need & F.col(key).isNotNull()
     placed = rows.withColumns({"_x": F.when(wanted, x), "_y": F.when(wanted, y)})
-    if index.inside_bytes + index.near_bytes <= budget:
+    by_cell, size = None, index.inside_bytes + index.near_bytes + index.units_bytes
+    if size <= budget:
+        # What covers many cells is listed with each of them here, so the size is taken again.
+        by_cell, size = materialize_measured(_by_cell(index), "by_cell")
+    if by_cell is not None and size + index.near_bytes <= budget:
         cells = cell_columns(F.col("_x"), F.col("_y"), index.cell)
         placed = placed.withColumns({f"_{n}": c for n, c in cells.items()} | {"_shrunk": shrink(F.col("_y"))})
-        return _with_region_in_row(placed, index, multi).select(*columns)
+        return _with_region_in_row(placed, by_cell, index, multi).select(*columns)
     placed = materialize(placed, "placed_rows")
     spots = placed.filter("_x is not null and _y is not null").select("_x", "_y").distinct()
     spots = spots.withColumn("_spot", F.struct("_x", "_y"))

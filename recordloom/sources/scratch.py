@@ -113,8 +113,14 @@ def byte_count(df: DataFrame) -> Column:
     return F.coalesce(F.sum(reduce(Column.__add__, values, F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"))
 
 
+def materialize_observed(df: DataFrame, name: str = "table", **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, and aggregates over the rows taken while they are written."""
+    seen = Observation()
+    table = materialize(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), name)
+    return table, seen.get
+
+
 def materialize_measured(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
     """``materialize`` and the size in bytes, counted while the table is written."""
-    seen = Observation()
-    table = materialize(df.observe(seen, byte_count(df).alias("bytes")), name)
-    return table, seen.get["bytes"]
+    table, seen = materialize_observed(df, name, bytes=byte_count(df))
+    return table, seen["bytes"]

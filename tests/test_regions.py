@@ -1,13 +1,15 @@
+import math
 import random
 from collections import Counter
 
 import pytest
-from brute import regions_of
+from brute import contains, edges_of, regions_of
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from conftest import plan_of
 from test_geometry import HOLED, MULTI, PLAIN
 
+from recordloom.functions.geometry import with_polygon
 from recordloom.operators import regions as rg
 
 SEED = "zip_code string, borough string, geom_wkt string"
@@ -172,3 +174,80 @@ def test_bad_texts_fail_or_are_reported(spark):
         rg.parse_regions(seed)
     assert rg.parse_regions(seed, strict=False).count() == len(FIXED)
     assert {r.zip_code for r in rg.unreadable_regions(seed).collect()} == {"1", "2"}
+
+
+def _square(side, cell):
+    """A square of ``side`` x ``side`` cells whose borders lie inside cells, and a point in each of its cells."""
+    a, b = 0.3 * cell, (side + 0.3) * cell
+    ring = ", ".join(f"{x:.9f} {y:.9f}" for x, y in [(a, a), (b, a), (b, b), (a, b), (a, a)])
+    points = [((i + 0.5) * cell, (j + 0.5) * cell) for i in range(side + 1) for j in range(side + 1)]
+    return [("1", "A", f"POLYGON(({ring}))")], points
+
+
+def _index(spark, seed, points, cell, with_near=True):
+    df = spark.createDataFrame([(str(i), *p) for i, p in enumerate(points)], "id string, lon double, lat double")
+    found = rg.as_points(df, "id", *rg.point(F.col("lon"), F.col("lat")), cell)
+    return found, rg.index_regions(rg.cells_of(found), rg.parse_regions(spark.createDataFrame(seed, SEED)), cell, with_near)
+
+
+def test_a_region_adds_rows_in_proportion_to_its_border(spark):
+    cell, rows = 1 / 128, {}
+    for side in (50, 100):
+        seed, points = _square(side, cell)
+        found, index = _index(spark, seed, points, cell, with_near=False)
+        rows[side] = index.inside.count()
+        got = {int(r.id) for r in rg.containing(found, index, "id").collect()}
+        assert got == {i for i, p in enumerate(points) if contains(edges_of(seed[0][2]), *p)}
+        assert index.inside.filter("whole").agg(F.sum(F.expr("shiftleft(1L, level)"))).first()[0] == (side - 1) ** 2
+    assert rows[100] < 0.2 * 100**2 and rows[100] < 2.5 * rows[50]
+
+
+def test_tiles_make_up_their_run(spark):
+    rng = random.Random(1)
+    runs = [(a, a + rng.choice([0, 1, 2, 3, 5, 10, 50, 3000])) for a in (rng.randint(-5000, 5000) for _ in range(300))]
+    df = spark.createDataFrame([([r],) for r in runs], "runs array<struct<first bigint, last bigint>>")
+    for r in df.select("runs", rg._tiles_of_runs("runs", 1 / 128).alias("t")).collect():
+        first, last = r.runs[0]
+        assert sorted(c for level, t in r.t for c in range(t << level, (t + 1) << level)) == list(range(first, last + 1))
+        assert max(Counter(level for level, _ in r.t).values()) <= 6
+
+
+def test_far_cells_share_the_segments_of_their_unit(spark):
+    cell = 1 / 64
+    seed, _ = _square(4, cell)
+    points = [(20 + i * cell + cell / 2, 30 + j * cell + cell / 2) for i in range(40) for j in range(40)]
+    found, index = _index(spark, seed, points, cell)
+    assert index.units.count() == 1600
+    assert index.near.select(*rg.NEAR_KEY).distinct().count() * 100 < 1600
+    assert rg.nearest(found, index, "id").count() == 1600
+
+
+def test_polygon_texts_are_cut_once(spark, tmp_path):
+    path = str(tmp_path / "seed")
+    spark.createDataFrame(FIXED, SEED).write.parquet(path)
+    plan = plan_of(with_polygon(spark.read.parquet(path).withColumn("w", F.concat("geom_wkt", F.lit(""))), "w").select("edges", "problem"))
+    assert plan.count("(?<=[()])") == 1 and plan.count("concat(geom_wkt") == 1
+
+
+def test_containment_is_worked_out_once_for_the_anti_join(spark):
+    cell = 1 / 64
+    points = [(-74.5 + i / 40, 40 + j / 40) for i in range(20) for j in range(20)]
+    found, index = _index(spark, FIXED, points, cell)
+    hits = rg.containing(found, index, "id")
+    rest = rg.without_match(found, hits, "id")
+    assert {int(r.id) for r in rest.collect()} == {i for i, p in enumerate(points) if not any(contains(edges_of(w), *p) for *_, w in FIXED)}
+    assert plan_of(rest).count("whole") == 0  # the matches were written
+
+
+def test_far_and_hidden_vertices(spark):
+    """Polygons of hundreds of vertices, some of them long and thin, against brute force."""
+    rng = random.Random(11)
+    seed = []
+    for i in range(8):
+        cx, cy, n = rng.uniform(-74.2, -73.8), rng.uniform(40.5, 40.9), 300
+        radii = [rng.uniform(0.02, 0.12) for _ in range(n)]
+        ring = [(cx + r * math.cos(2 * math.pi * k / n) * 1.5, cy + r * math.sin(2 * math.pi * k / n) * 0.4) for k, r in enumerate(radii)]
+        seed.append((f"{i}", "ABC"[i % 3], "POLYGON((" + ", ".join(f"{a:.6f} {b:.6f}" for a, b in [*ring, ring[0]]) + "))"))
+    points = [(rng.uniform(-74.4, -73.6), rng.uniform(40.4, 41.0)) for _ in range(400)]
+    assert _derive(spark, seed, points, 1 / 64) == _expected(seed, points)
+    assert _derive(spark, seed, points, 1 / 64, budget=0, rows_per_task=30) == _expected(seed, points)

@@ -327,9 +327,9 @@ def _located(spark: SparkSession, sf: str) -> DataFrame:
 def _points(spark: SparkSession, sf: str, with_near: bool = True) -> tuple[DataFrame, rg.RegionIndex]:
     located = _located(spark, sf)
     x, y = rg.point(col("longitude"), col("latitude"))
+    points = materialize(rg.as_points(located, "source_row", x, y, rg.CELL), "points")
     shapes = rg.parse_regions(feeds.regions(spark, sf))
-    index = rg.index_regions(rg.occupied_cells(located, x, y), shapes, with_near=with_near)
-    return rg.as_points(located, "source_row", x, y, rg.CELL), index
+    return points, rg.index_regions(rg.cells_of(points), shapes, with_near=with_near)
 
 
 @query
