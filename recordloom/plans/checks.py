@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import sized_join
 from ..operators.quality import duplicates, missing, orphans, unaccepted
-from ..sources.scratch import materialize
+from ..sources.scratch import byte_count, materialize, materialize_observed
 
 
 @dataclass(frozen=True)
@@ -85,6 +86,46 @@ def _value_counts(table: str, df: DataFrame, columns: Sequence[str]) -> DataFram
     return stacked.groupBy("table_name", "column_name", "value").agg(F.count("*").alias("n_rows"))
 
 
+def _hash_counts(number: int, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, h, n_rows): how often each hash of a value occurs; ``i`` numbers the columns from ``number`` on, h is NULL for NULL."""
+    values = [F.struct(F.lit(number + k).alias("i"), F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias("h")) for k, c in enumerate(columns)]
+    return df.select(F.inline(F.array(*values))).groupBy("i", "h").agg(F.count("*").alias("n_rows"))
+
+
+def _hashed_report(tables: Mapping[str, DataFrame], wanted: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(table_name, column_name, check_name, failures) of not_null and unique for columns that hardly repeat.
+
+    First every value is a hash of 8 bytes; only values whose hash occurs twice are looked at themselves, in a second
+    reading of their columns. Where no hash does, there is none.
+    """
+    numbers = {t: sum(len(c) for c in list(wanted.values())[:k]) for k, t in enumerate(wanted)}
+    counts = reduce(DataFrame.unionByName, [_hash_counts(numbers[t], tables[t], c) for t, c in wanted.items()])
+    repeated = counts.filter("n_rows > 1 OR h IS NULL")
+    twice, seen = materialize_observed(repeated, "repeated", n=F.count("h"), bytes=byte_count(repeated))
+    spark = twice.sparkSession
+    # At most one row per checked column.
+    suspect = {row.i for row in twice.filter("h IS NOT NULL").select("i").distinct().collect()} if seen["n"] else set()
+    exact = []
+    for t, columns in wanted.items():
+        if suspect.isdisjoint(range(numbers[t], numbers[t] + len(columns))):
+            continue
+        values = [
+            F.struct(F.lit(numbers[t] + k).alias("i"), F.xxhash64(c).alias("h"), F.col(c).cast("string").alias("value"))
+            for k, c in enumerate(columns)
+        ]
+        rows = tables[t].select(F.inline(F.array(*values)))
+        suspects = twice.filter("h IS NOT NULL").select(F.col("i").alias("_i"), F.col("h").alias("_h"))
+        on = [(F.col("i"), F.col("_i")), (F.col("h"), F.col("_h"))]
+        exact.append(sized_join(rows, suspects, on, "left_semi", size=seen["bytes"]).filter("value IS NOT NULL").groupBy("i", "value").agg(F.count("*").alias("n_rows")))
+    found = twice.filter("h IS NULL").select("i", F.lit("not_null").alias("check_name"), F.col("n_rows").alias("failures"))
+    if exact:
+        again = reduce(DataFrame.unionByName, exact).filter("n_rows > 1").groupBy("i").agg(F.count("*").alias("failures"))
+        found = found.unionByName(again.withColumn("check_name", F.lit("unique")))
+    names = [(numbers[t] + k, t, c) for t, columns in wanted.items() for k, c in enumerate(columns)]
+    named = spark.createDataFrame(names, "i int, table_name string, column_name string")
+    return found.join(F.broadcast(named), "i").select("table_name", "column_name", "check_name", "failures")
+
+
 def _failures(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     """The failures of one check on a column whose values cannot be counted as texts."""
     df = tables[check.table]
@@ -104,8 +145,8 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] = DECLAR
     """(table_name, column_name, check_name, failures), one row per check on a given table.
 
     Failures count values for ``unique`` and ``accepted_values``, rows for the other two.
-    Every table is read once: the values of its checked columns are counted together, and all checks
-    follow from these counts, which are written out. Columns of types without a text of their own
+    The values of the columns that a relationship links are counted together in one reading of each table; of the other
+    columns only hashes are, and the values themselves where a hash occurs twice. Columns of types without a text of their own
     (floating, nested) and keys whose type differs from the parent's are checked one by one.
     """
     mine = [k for k in checks if k.table in tables]
@@ -125,10 +166,29 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] = DECLAR
 
 
 def _stacked_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    # Columns on either side of a relationship repeat, or are small: their values are counted themselves.
     wanted: dict[str, dict[str, None]] = {}
     for k in checks:
-        for table in (k.table, k.parent) if k.kind == "relationships" else (k.table,):
+        for table in {"relationships": (k.table, k.parent), "accepted_values": (k.table,)}.get(k.kind, ()):
             wanted.setdefault(table, {})[k.column] = None
+    hashed: dict[str, list[str]] = {}
+    for k in checks:
+        if k.column not in wanted.get(k.table, {}) and k.column not in hashed.setdefault(k.table, []):
+            hashed[k.table].append(k.column)
+    hashed = {t: columns for t, columns in hashed.items() if columns}
+    where = ["table_name", "column_name"]
+    parts = [_counted_report(tables, checks, wanted)] if wanted else []
+    parts += [_hashed_report(tables, hashed)] if hashed else []
+    each = reduce(DataFrame.unionByName, parts)
+    # One row per declared check, also for a table without rows.
+    asked = each.sparkSession.createDataFrame([(k.table, k.column, k.kind) for k in checks], "table_name string, column_name string, check_name string")
+    return asked.join(each, [*where, "check_name"], "left").select(
+        *where, "check_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
+    )
+
+
+def _counted_report(tables: Mapping[str, DataFrame], checks: Sequence[Check], wanted: Mapping[str, Mapping[str, None]]) -> DataFrame:
+    """(table_name, column_name, check_name, failures) from the counts of all values of the columns ``wanted``."""
     counts = materialize(reduce(DataFrame.unionByName, [_value_counts(t, tables[t], list(c)) for t, c in wanted.items()]), "values")
     spark, where = counts.sparkSession, ["table_name", "column_name"]
 
@@ -154,8 +214,4 @@ def _stacked_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) ->
         each = each.unionByName(
             lost.groupBy(*where).agg(F.sum("n_rows").alias("failures")).withColumn("check_name", F.lit("relationships"))
         )
-    # One row per declared check, also for a table without rows.
-    asked = spark.createDataFrame([(k.table, k.column, k.kind) for k in checks], "table_name string, column_name string, check_name string")
-    return asked.join(each, [*where, "check_name"], "left").select(
-        *where, "check_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
-    )
+    return each
