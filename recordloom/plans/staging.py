@@ -21,6 +21,7 @@ from ..operators.dedup import keep_latest
 from ..operators.filters import in_scope
 from ..operators.projection import replace_columns
 from ..operators.regions import CELL, enrich_regions
+from ..operators.rejects import REJECTS, rejects
 
 # The scope of the request feed.
 REQUEST_CATEGORY = "Illegal Parking"
@@ -33,8 +34,12 @@ def stage_requests(
     since: dt.date = REQUESTS_SINCE,
     tiebreak: list[str] | None = None,
     strict: bool = True,
+    keep_rejects: bool = False,
 ) -> DataFrame:
-    """Requests in scope, the latest row per key, cleaned. Filters come first: the latest qualifying row wins."""
+    """Requests in scope, the latest row per key, cleaned. Filters come first: the latest qualifying row wins.
+
+    What ``strict=False`` turns into NULL is listed in a further column with ``keep_rejects`` (see ``split_rejects``).
+    """
     scoped = in_scope(raw, ("unique_key", "created_date"), ("created_date", since), {"complaint_type": category})
     latest = keep_latest(scoped, "unique_key", [F.col("created_date").desc_nulls_last()], tiebreak)
 
@@ -63,6 +68,10 @@ def stage_requests(
         "_stg_loaded_at": F.current_timestamp(),
     }
     renamed = {"unique_key", "open_data_channel_type"}
+    if keep_rejects:
+        times = {c: (F.col(c), to_timestamp(F.col(c), False), "no timestamp") for c in ("created_date", "closed_date")}
+        numbers = {c: (F.col(c), to_numeric(F.col(c), False), "no number") for c in ("latitude", "longitude")}
+        cleaned[REJECTS] = rejects(F.col("unique_key"), times | numbers)
     return replace_columns(latest, renamed | set(cleaned), cleaned)
 
 
@@ -84,12 +93,17 @@ def _clean_crash_fields(strict: bool) -> dict:
     }
 
 
-def clean_crashes(raw: DataFrame, tiebreak: list[str] | None = None, strict: bool = True) -> DataFrame:
+def clean_crashes(raw: DataFrame, tiebreak: list[str] | None = None, strict: bool = True, keep_rejects: bool = False) -> DataFrame:
     """The latest row per collision, cleaned; region fields that cannot be cleaned stay NULL."""
     when = date_and_clock(F.col("crash_date"), F.col("crash_time"), strict)
     order = [F.col("crash_date").desc_nulls_last(), when.desc_nulls_last()]
     latest = keep_latest(raw, "collision_id", order, tiebreak)
     cleaned = _clean_crash_fields(strict) | {"_stg_loaded_at": F.current_timestamp()}
+    if keep_rejects:
+        numbers = {c: (F.col(c), to_numeric(F.col(c), False), "no number") for c in ("latitude", "longitude")}
+        stamp = F.concat(F.col("crash_date").cast("string"), F.lit(" "), F.col("crash_time").cast("string"))
+        read = date_and_clock(F.col("crash_date"), F.col("crash_time"), False)
+        cleaned[REJECTS] = rejects(F.col("collision_id"), numbers | {"crash_date": (stamp, read, "no day and clock")})
     return replace_columns(latest, cleaned, cleaned)
 
 
@@ -106,6 +120,7 @@ def stage_crashes(
     multi: str = "all",
     cell: float = CELL,
     strict: bool = True,
+    keep_rejects: bool = False,
 ) -> DataFrame:
     """Clean collisions whose missing region fields are filled from the polygons of ``seed``.
 
@@ -113,7 +128,7 @@ def stage_crashes(
     may hold anything, and all of it for the deduplication, which is its only shuffle within the budget.
     """
     return enrich_regions(
-        clean_crashes(raw, tiebreak, strict),
+        clean_crashes(raw, tiebreak, strict, keep_rejects),
         seed,
         "collision_id",
         places=crash_places(raw, strict=False),

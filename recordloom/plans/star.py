@@ -9,6 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ..operators.regions import CELL
+from ..operators.rejects import split_rejects
 from ..sources.scratch import temporary_tables
 from ..sources.writers import database_for, write_path, write_table
 from . import dimensions as dim
@@ -33,6 +34,11 @@ TABLES: dict[str, tuple[str, str]] = {
     "fact_crashes": ("crashes", "fact_mvc_crash"),
 }
 
+# What tolerant casts gave up, beside the staged tables.
+REJECT_TABLES: dict[str, tuple[str, str]] = {
+    f"rej_{feed}": (layer, f"{name}_rejects") for feed in ("requests", "crashes") for layer, name in [TABLES[f"stg_{feed}"]]
+}
+
 # Databases of the layers unless others are given; a layer mapped to None goes to the default database.
 LAYERS: dict[str, str | None] = {
     "seed": "seed",
@@ -49,7 +55,7 @@ def to_databases(layers: Mapping[str, str | None] | None = None, default: str =
     """Save tables under their published names in the database of their layer."""
 
     def save(name: str, df: DataFrame) -> DataFrame:
-        layer, table = TABLES[name]
+        layer, table = (TABLES | REJECT_TABLES)[name]
         return write_table(df, table, database_for(layer, LAYERS if layers is None else layers, default), fmt)
 
     return save
@@ -59,7 +65,7 @@ def to_folder(root: str, fmt: str = "parquet") -> Save:
     """Save tables under their published names in folders named after their layer."""
 
     def save(name: str, df: DataFrame) -> DataFrame:
-        layer, table = TABLES[name]
+        layer, table = (TABLES | REJECT_TABLES)[name]
         return write_path(df, f"{root}/{layer}/{table}", fmt)
 
     return save
@@ -108,9 +114,13 @@ def build_star(
     crash_ties: list[str] | None = None,
     multi: str = "all",
     cell: float = CELL,
+    strict: bool = True,
 ) -> dict[str, DataFrame]:
     """Build and save every table; returns scans of the saved tables by name.
 
+    With ``strict=False`` values that cannot be read become NULL, and ``rej_requests`` and ``rej_crashes`` list them by
+    key, column, text and reason.
+
     Staging is written before anything reads it, so each feed is cleaned once, and the
     dimensions before the facts, so that their sizes are known when they are joined.
     Nothing but the saved tables stays behind; ``save`` must not return a scan of a scratch table.
@@ -118,9 +128,12 @@ def build_star(
     with temporary_tables(seed.sparkSession):
         tables = {"seed": save("seed", seed)}
         staged = {
-            "stg_requests": stage_requests(requests, tiebreak=request_ties),
-            "stg_crashes": stage_crashes(crashes, tables["seed"], crash_ties, multi, cell),
+            "stg_requests": stage_requests(requests, tiebreak=request_ties, strict=strict, keep_rejects=not strict),
+            "stg_crashes": stage_crashes(crashes, tables["seed"], crash_ties, multi, cell, strict, not strict),
         }
+        if not strict:
+            for feed in ("requests", "crashes"):
+                staged[f"stg_{feed}"], staged[f"rej_{feed}"] = split_rejects(staged[f"stg_{feed}"])
         tables |= save_all(staged, save)
         req, cra = tables["stg_requests"], tables["stg_crashes"]
         tables |= save_all(shared_dimensions(req, cra) | request_dimensions(req) | crash_dimensions(cra), save)

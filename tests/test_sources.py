@@ -11,6 +11,7 @@ from recordloom.sources import (
     materialize,
     read_seed,
     read_table,
+    recover_path,
     scratch_dir,
     write_path,
     write_table,
@@ -60,6 +61,47 @@ def test_full_refresh(spark, tmp_path):
     spark.sql("DROP DATABASE recordloom_test CASCADE")
 
 
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_path(spark.range(5), path)
+    bad = spark.range(9).select(F.when(F.col("id") == 7, F.raise_error(F.lit("broken")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="broken"):
+            write_path(bad, path)
+        assert spark.read.parquet(path).count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]  # nothing stays behind
+    assert write_path(spark.range(9), path).count() == 9  # and the retry publishes
+    write_table(spark.range(5), "t", "recordloom_test")
+    with pytest.raises(Exception, match="broken"):
+        write_table(bad, "t", "recordloom_test")
+    assert spark.table("recordloom_test.t").count() == 5
+    assert write_table(spark.range(9), "t", "recordloom_test").count() == 9
+    assert [t.name for t in spark.catalog.listTables("recordloom_test")] == ["t"]
+    spark.sql("DROP DATABASE recordloom_test CASCADE")
+
+
+def test_a_table_may_be_replaced_by_what_it_holds(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (5, 4):
+        kept = write_path(spark.range(5) if n == 5 else spark.read.parquet(path).filter("id > 0"), path)
+        assert kept.count() == n
+    write_table(spark.range(5), "t", "recordloom_test")
+    assert write_table(spark.table("recordloom_test.t").filter("id > 0"), "t", "recordloom_test").count() == 4
+    spark.sql("DROP DATABASE recordloom_test CASCADE")
+
+
+def test_a_writer_that_died_is_made_good(spark, tmp_path):
+    """The old table was taken away, and the new one did not come."""
+    path = str(tmp_path / "t")
+    write_path(spark.range(5), path)
+    (tmp_path / "t").rename(tmp_path / "_replaced-t-1-a")
+    assert recover_path(spark, path) and spark.read.parquet(path).count() == 5
+    assert not recover_path(spark, path)
+    (tmp_path / "t").rename(tmp_path / "_replaced-t-1-a")
+    kept = write_path(spark.range(3), path)
+    assert kept.count() == 3 and sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
 def test_scratch_follows_the_session(spark):
     assert scratch_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
     df = materialize(spark.range(4), "four")

@@ -193,3 +193,46 @@ def test_staging_limits_types(star):
     types = dict(star["stg_crashes"].dtypes)
     assert types["latitude"] == types["longitude"] == "decimal(38,9)" and types["crash_date"] == "timestamp"
     assert star["fact_crashes"].filter(F.col("collision_id").isNull()).count() == 1
+
+
+def test_values_that_cannot_be_read_are_listed(spark, tmp_path):
+    bad = dict(
+        unique_key="8", created_date=NEW, complaint_type="Illegal Parking", borough="BRONX", latitude="forty", longitude="", incident_zip="1000",
+    )
+    requests = _frame(spark, REQUESTS, [bad, bad | {"created_date": NEW - dt.timedelta(2), "latitude": "older"}, bad | {"unique_key": "9", "latitude": "40.5", "longitude": None}])
+    row = dict(collision_id="200", crash_date=dt.datetime(2015, 11, 26), crash_time="noon", borough="QUEENS", zip_code="11101", latitude="0", longitude="x")
+    crashes = _frame(spark, CRASHES, [row, row | {"collision_id": "201", "crash_time": None, "longitude": "-73.75"}])
+    star = build_star(requests, crashes, _seed(spark), to_folder(str(tmp_path)), strict=False)
+    assert {tuple(r) for r in star["rej_requests"].collect()} == {("8", "latitude", "forty", "no number"), ("8", "longitude", "", "no number")}
+    assert {tuple(r) for r in star["rej_crashes"].collect()} == {
+        ("200", "longitude", "x", "no number"), ("200", "crash_date", "2015-11-26 00:00:00 noon", "no day and clock"),
+    }
+    # What a column lost is what is listed.
+    staged, lost = star["stg_requests"], star["rej_requests"].groupBy("column").count().collect()
+    given = {"latitude": 2, "longitude": 1}
+    assert {r["column"]: r["count"] for r in lost} == {c: n - staged.filter(F.col(c).isNotNull()).count() for c, n in given.items()}
+    assert "_rejects" not in staged.columns + star["stg_crashes"].columns
+
+
+def test_unique_keys_are_shuffled_as_hashes(spark):
+    """And values that share a hash are told apart: only equal values count."""
+    from recordloom.plans import checks as module
+
+    df = spark.createDataFrame([(str(i % 40), i, None if i % 10 == 0 else "x") for i in range(50)], "a string, b int, c string")
+    declared = [module.Check("t", c, kind) for c in "abc" for kind in ("unique", "not_null")]
+    want = {("a", "unique"): 10, ("a", "not_null"): 0, ("b", "unique"): 0, ("b", "not_null"): 0, ("c", "unique"): 1, ("c", "not_null"): 5}
+    assert {(r.column_name, r.check_name): r.failures for r in run_checks({"t": df}, declared).collect()} == want
+    plan = plan_of(module._hash_counts(0, df, ["a", "b"]))
+    exchanged = plan[plan.index("Exchange"):]
+    assert "Exchange hashpartitioning(i#" in exchanged and "a#" not in exchanged.split("\n")[0]
+    assert {r.failures for r in run_checks({"t": df.limit(0)}, declared).collect()} == {0}
+
+
+def test_values_that_share_a_hash_are_no_duplicates(spark, monkeypatch):
+    from recordloom.plans import checks as module
+
+    plain = F.xxhash64
+    monkeypatch.setattr(module.F, "xxhash64", lambda *c: plain(*c) % 3)
+    df = spark.createDataFrame([(i,) for i in [*range(20), 5]], "a int")
+    report = run_checks({"t": df}, [module.Check("t", "a", "unique")]).collect()
+    assert [r.failures for r in report] == [1]
