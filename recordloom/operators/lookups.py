@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import hour_of
 from ..functions.cleaning import known_borough, known_zip, trim_all
+from ..sources.scratch import materialize
 from .joins import BROADCAST_BYTES, ROWS_PER_TASK, measure, sized_join
 
 Match = tuple[Column, Column]
@@ -76,6 +79,50 @@ def _shared_budget(sizes: Sequence[int], budget: int) -> list[int]:
     return charged
 
 
+_TEXTUAL = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.BooleanType)
+
+
+def _by_text(feed: DataFrame, lookup: Lookup, dim: DataFrame) -> bool:
+    """Whether equal parts have equal texts, on both sides, and the key can be had back from its text."""
+    asked = feed.select(*[on[0].alias(f"p{i}") for i, on in enumerate(lookup.on)]).schema
+    held = dim.select(*[on[1].alias(f"p{i}") for i, on in enumerate(lookup.on)], member(lookup.key).alias("key")).schema
+    alike = lambda a, b: a == b or isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)
+    same = all(alike(a.dataType, b.dataType) for a, b in zip(asked, held))
+    return same and all(isinstance(f.dataType, _TEXTUAL) for f in held)
+
+
+def _look_up_together(feed: DataFrame, lookups: Sequence[Lookup], dims: Sequence[DataFrame], budget: int, rows_per_task: int) -> DataFrame:
+    """Append the keys of several large dimensions, shuffling the feed once however many they are.
+
+    The feed is written with a number for every row. Only numbers and looked-up values go to the members, all
+    dimensions in one join with hot values split; the answers are gathered by number and meet the feed in one more.
+    """
+    fed = materialize(feed.withColumn("_row", F.monotonically_increasing_id()), "numbered_feed")
+
+    def parts(lookup: Lookup, side: int) -> Column:
+        return F.array(*[on[side].cast("string") for on in lookup.on])
+
+    asked = [F.struct(F.lit(i).alias("_dim"), parts(lk, 0).alias("_value")) for i, lk in enumerate(lookups)]
+    asked = fed.select("_row", F.inline(F.array(*asked))).filter(~F.exists("_value", lambda part: part.isNull()))
+    members = reduce(
+        DataFrame.unionByName,
+        [
+            dim.select(F.lit(i).alias("_of"), parts(lk, 1).alias("_member"), member(lk.key).cast("string").alias("_key"))
+            for i, (lk, dim) in enumerate(zip(lookups, dims))
+        ],
+    )
+    on = [(F.col("_dim"), F.col("_of")), (F.col("_value"), F.col("_member"))]
+    found = sized_join(asked, members, on, "inner", ["_row"], budget + 1, budget, rows_per_task)
+    answer = [F.collect_list(F.when(F.col("_dim") == i, F.struct("_key"))).alias(f"_answer{i}") for i in range(len(lookups))]
+    answers = materialize(found.groupBy("_row").agg(*answer), "answers")
+    joined = fed.join(answers, "_row", "left")
+    for i, (lk, dim) in enumerate(zip(lookups, dims)):
+        kind = dim.schema[f"_dim_{lk.key}"].dataType
+        # A value with several members gives as many rows, like a join.
+        joined = joined.withColumn("_found", F.explode_outer(f"_answer{i}")).withColumn(lk.key, F.col("_found._key").cast(kind))
+    return joined.select(*feed.columns, *[lk.key for lk in lookups])
+
+
 def look_up(
     feed: DataFrame,
     lookups: Sequence[Lookup],
@@ -86,11 +133,18 @@ def look_up(
     """Append the key of every lookup to ``feed``.
 
     All dimensions are measured in one job. The smallest that fit the budget together are broadcast in
-    the same stage as the scan of the feed, so a star of small dimensions shuffles nothing; the others are shuffled.
+    the same stage as the scan of the feed, so a star of small dimensions shuffles nothing. One beyond it is joined by a
+    shuffle of the feed, and several together by one as well.
     """
     given = feed
     narrow = [lk.dim.select(*[F.col(c).alias(f"_dim_{c}") for c in lk.dim.columns]) for lk in lookups]
-    for lk, dim, size in zip(lookups, narrow, _shared_budget(measure(*narrow), budget) if lookups else []):
-        joined = sized_join(feed, dim, lk.on, "left", spread, size, budget, rows_per_task, given)
-        feed = joined.select(*feed.columns, member(lk.key).alias(lk.key))
-    return feed
+    sizes = _shared_budget(measure(*narrow), budget) if lookups else []
+    apart = [i for i, size in enumerate(sizes) if size > budget and _by_text(given, lookups[i], narrow[i])]
+    apart = apart if len(apart) > 1 else []
+    for i, (lk, dim, size) in enumerate(zip(lookups, narrow, sizes)):
+        if i not in apart:
+            joined = sized_join(feed, dim, lk.on, "left", spread, size, budget, rows_per_task, given)
+            feed = joined.select(*feed.columns, member(lk.key).alias(lk.key))
+    if apart:
+        feed = _look_up_together(feed, [lookups[i] for i in apart], [narrow[i] for i in apart], budget, rows_per_task)
+    return feed.select(*given.columns, *[lk.key for lk in lookups])

@@ -79,3 +79,30 @@ def test_budget_is_shared_by_all_dimensions(spark):
     plenty, scarce = lk.look_up(feed, looks), lk.look_up(feed, looks, budget=150)
     assert sorted(map(tuple, plenty.collect()), key=repr) == sorted(map(tuple, scarce.collect()), key=repr)
     assert sorted(map(tuple, plenty.collect()))[0] == (1, "a", "k0", None, None)
+
+
+def test_several_large_dimensions_shuffle_the_feed_once(spark):
+    """With NULLs, values of a third of all rows, members that repeat, and keys of several types."""
+    days = [dt.datetime(2024, 1, 1 + i % 5, i % 24) for i in range(90)]
+    feed = spark.createDataFrame(
+        [(i, "hot" if i % 3 == 0 else f"v{i % 7}", None if i % 5 == 0 else f" f{i % 4}", days[i], "payload") for i in range(90)],
+        "id int, m string, d string, t timestamp, wide string",
+    )
+    dims = [
+        spark.createDataFrame([("k1", "hot"), ("k2", "v1"), ("k3", "v1"), (None, "v2")], "key1 string, m string"),
+        spark.createDataFrame([(1, None), (2, " f1"), (3, "")], "key2 int, m string"),
+        spark.createDataFrame([(True, dt.date(2024, 1, 2)), (False, dt.date(2024, 1, 3))], "key3 boolean, full_date date"),
+        spark.createDataFrame([("h", 23)], "key4 string, hour bigint"),
+    ]
+    looks = [
+        lk.Lookup(dims[0], "key1", (lk.strict(c("m"), "m"),)),
+        lk.Lookup(dims[1], "key2", (lk.null_as_blank(c("d"), "m"),)),
+        lk.Lookup(dims[2], "key3", (lk.on_day(c("t")),)),
+        lk.Lookup(dims[3], "key4", (lk.on_hour(c("t")),)),
+    ]
+    plenty, scarce = lk.look_up(feed, looks), lk.look_up(feed, looks, budget=0, rows_per_task=4)
+    assert plenty.schema == scarce.schema
+    got = sorted(map(tuple, scarce.collect()), key=repr)
+    assert got == sorted(map(tuple, plenty.collect()), key=repr) and len(got) > 90
+    moved = [part for part in plan_of(scarce).split("Exchange ")[1:] if "wide" in part]
+    assert plan_of(scarce).count("Exchange ") <= 2 and len(moved) <= 1
