@@ -127,6 +127,53 @@ FROM (
 """
 
 
+# The same feed with what the plain one lacks: keys that are NULL, one key with a third of all rows, members with
+# white space around them, and the member that missing vehicles look up.
+CRASHES_ODD = (
+    CRASHES.replace("l_orderkey AS collision_id", "CASE WHEN l_orderkey % 50 = 0 THEN NULL WHEN l_orderkey % 3 = 0 THEN 3 ELSE l_orderkey END AS collision_id")
+    .replace('AS contributing_factor_vehicle_1', '|| CASE WHEN l_partkey % 11 = 0 THEN chr(9) ELSE chr(10) END AS contributing_factor_vehicle_1')
+    .replace(
+        f"{_pick('l_suppkey', None, ' ', 'Sedan', 'SEDAN', 'Bus')} AS vehicle_type_code1",
+        f"CASE WHEN l_suppkey % 7 = 3 THEN chr(9) || 'Van' || chr(13) || chr(10) WHEN l_suppkey % 7 = 4 THEN 'UNKNOWN' "
+        f"ELSE {_pick('l_suppkey', None, ' ', 'Sedan', 'SEDAN', 'Bus')} END AS vehicle_type_code1",
+    )
+)
+
+# Vertices on each side of a dense polygon, of which every second one is drawn in.
+_TEETH = 59
+
+
+def _fine(units: str, sign: str = "") -> str:
+    whole = f"CAST(CAST(floor(({units}) / 100000) AS bigint) AS string)"
+    return f"'{sign}', {whole}, '.', lpad(CAST(({units}) % 100000 AS string), 5, '0')"
+
+
+def _dense_ring() -> str:
+    """A square whose sides are saws of teeth of several depths, in steps of ``s``."""
+    last = _TEETH + 1
+    side = [(i, (0, 3, 1, 5)[i % 4] if 5 < i < last - 5 else 0) for i in range(last)]
+    corners = [*side, *[(last - d, i) for i, d in side], *[(last - i, last - d) for i, d in side], *[(d, last - i) for i, d in side]]
+    points = [f"concat({_fine(f'west - {e} * s', '-')}, ' ', {_fine(f'south + {n} * s')})" for e, n in [*corners, corners[0]]]
+    return f"concat_ws(', ', {', '.join(points)})"
+
+
+# One polygon of 240 vertices per supplier, placed like the plain ones.
+REGIONS_DENSE = f"""
+SELECT zip_code, borough, concat('POLYGON((', {_dense_ring()}, '))') AS geom_wkt
+FROM (
+  SELECT CAST(10000 + k AS string) AS zip_code,
+    {_pick("k", "Manhattan", "Bronx", "Brooklyn", "Queens", "Staten Island")} AS borough,
+    7450000 - (place % 24) * 5000 + 130000 * (CAST(floor(area / 30) AS bigint) % 80) AS west,
+    4000000 + CAST(floor(place / 24) AS bigint) * 5000 + 125000 * (area % 30) AS south,
+    55 + 10 * (k % 5) AS s
+  FROM (
+    SELECT s_suppkey AS k, (s_suppkey * 197) % 528 AS place, CAST(floor(s_suppkey / 528) AS bigint) AS area
+    FROM supplier
+  ) AS placed
+) AS sized
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(pin_session(spark), f"{sf_dir}/{name}.parquet")
 
@@ -145,3 +192,11 @@ def crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feed(spark, sf_dir, REGIONS, "supplier")
+
+
+def crashes_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _feed(spark, sf_dir, CRASHES_ODD, "lineitem")
+
+
+def regions_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _feed(spark, sf_dir, REGIONS_DENSE, "supplier")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from .feeds import CRASHES, REGIONS, REQUESTS
+from .feeds import CRASHES, CRASHES_ODD, REGIONS, REGIONS_DENSE, REQUESTS
 
 # The declared checks, one line per table and kind.
 CHECKS = """
@@ -234,15 +234,16 @@ def _mentions(sql: str) -> list[str]:
     return [name for name in CTES if re.search(rf"\b(FROM|JOIN|,)\s+{name}\b", sql)]
 
 
-def with_steps(final: str) -> str:
-    """``final`` preceded by the common table expressions it needs, in dependency order."""
+def with_steps(final: str, instead: dict[str, str] | None = None) -> str:
+    """``final`` preceded by the common table expressions it needs, in dependency order, some of them ``instead`` of the usual."""
     needed: dict[str, str] = {}
+    steps_of = CTES | (instead or {})
 
     def add(sql: str) -> None:
         for name in _mentions(sql):
             if name not in needed:
-                add(CTES[name])
-                needed[name] = CTES[name]
+                add(steps_of[name])
+                needed[name] = steps_of[name]
 
     add(final)
     steps = ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in needed.items())
@@ -386,3 +387,9 @@ _PLAIN: dict[str, str] = {
 _PLAIN["region_enrich_split"] = _PLAIN["region_enrich"]
 
 ORACLE: dict[str, str] = {name: with_steps(sql) for name, sql in _PLAIN.items()}
+
+_ODD = {"cra_raw": CRASHES_ODD}
+# The requests' points are left out, so that every edge meets a few thousand points only.
+_DENSE = {"region": CTES["region"].replace(REGIONS, REGIONS_DENSE), "spot": "SELECT DISTINCT x, y FROM spot_cra"}
+ORACLE |= {f"{name}_odd": with_steps(_PLAIN[name], _ODD) for name in ("stg_crashes", "lookup_trim_default")}
+ORACLE |= {f"{name}_dense": with_steps(_PLAIN[name], _DENSE) for name in ("point_in_region", "nearest_region")}

@@ -197,6 +197,12 @@ def stg_crashes(spark: SparkSession, sf: str) -> DataFrame:
     return _crashes(spark, sf)
 
 
+@query
+def stg_crashes_odd(spark: SparkSession, sf: str) -> DataFrame:
+    raw, seed = feeds.crashes_odd(spark, sf), feeds.regions(spark, sf)
+    return stage_crashes(raw, seed, tiebreak=TIES).drop("_stg_loaded_at")
+
+
 @query
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
     requests, crashes = _requests(spark, sf), _clean_crashes(spark, sf)
@@ -279,8 +285,8 @@ def lookup_strict_null(spark: SparkSession, sf: str) -> DataFrame:
     return _request_lookup(spark, sf, "channel_key", "status_key")
 
 
-def _crash_lookup(spark: SparkSession, sf: str, **wanted: str) -> DataFrame:
-    staged = materialize(_clean_crashes(spark, sf), "staged")
+def _crash_lookup(spark: SparkSession, sf: str, raw: Query = feeds.crashes, **wanted: str) -> DataFrame:
+    staged = materialize(clean_crashes(raw(spark, sf), tiebreak=TIES).drop("_stg_loaded_at"), "staged")
     dims = crash_dimensions(staged)
     dims |= _saved({name: dims[name] for name in wanted.values()})
     dims["date"], dims["geography"] = dim.dim_date(dim.days(staged, "crash_date")), dim.dim_geography(dim.crash_regions(staged))
@@ -298,6 +304,12 @@ def lookup_trim_default(spark: SparkSession, sf: str) -> DataFrame:
     return _crash_lookup(spark, sf, factor_key="factor", vehicle_type_key="vehicle")
 
 
+@query
+def lookup_trim_default_odd(spark: SparkSession, sf: str) -> DataFrame:
+    """White space around members, a default that is one, NULL and hot keys."""
+    return _crash_lookup(spark, sf, feeds.crashes_odd, factor_key="factor", vehicle_type_key="vehicle")
+
+
 @query
 def fact_requests_(spark: SparkSession, sf: str) -> DataFrame:
     staged = materialize(_requests(spark, sf), "staged")
@@ -324,11 +336,11 @@ def _located(spark: SparkSession, sf: str) -> DataFrame:
     return spots.dropna(subset=["longitude", "latitude"])
 
 
-def _points(spark: SparkSession, sf: str, with_near: bool = True) -> tuple[DataFrame, rg.RegionIndex]:
+def _points(spark: SparkSession, sf: str, with_near: bool = True, seed: Query = feeds.regions) -> tuple[DataFrame, rg.RegionIndex]:
     located = _located(spark, sf)
     x, y = rg.point(col("longitude"), col("latitude"))
     points = materialize(rg.as_points(located, "source_row", x, y, rg.CELL), "points")
-    shapes = rg.parse_regions(feeds.regions(spark, sf))
+    shapes = rg.parse_regions(seed(spark, sf))
     return points, rg.index_regions(rg.cells_of(points), shapes, with_near=with_near)
 
 
@@ -366,6 +378,20 @@ def nearest_region(spark: SparkSession, sf: str) -> DataFrame:
     return rg.nearest(rest, index, "source_row")
 
 
+@query
+def point_in_region_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Polygons of 240 vertices."""
+    points, index = _points(spark, sf, False, feeds.regions_dense)
+    return rg.containing(points, index, "source_row")
+
+
+@query
+def nearest_region_dense(spark: SparkSession, sf: str) -> DataFrame:
+    points, index = _points(spark, sf, seed=feeds.regions_dense)
+    rest = rg.without_match(points, rg.containing(points, index, "source_row"), "source_row")
+    return rg.nearest(rest, index, "source_row")
+
+
 @query
 def region_lookup_union(spark: SparkSession, sf: str) -> DataFrame:
     points, index = _points(spark, sf)
