@@ -5,8 +5,8 @@ it is link text (log-scaled ratios, as in the published composite text density).
 of a node is the sum of its children's densities. The least density on the path from body to the node
 with the greatest density sum is the threshold. The page is walked from body: of the topmost nodes beside that path whose
 density reaches the threshold, the subtree of the greatest sum is content as well, and what lies beside it is judged in the same
-way. All of these are kept in page order; but a node of the greatest sum within an article or main stands for
-that alone. Elements that are never content by their meaning (navigation, headers of
+way. All of these are kept in page order. A node of the greatest sum within an article or main stands for
+the whole of it, and then content beside it is what other articles reach the threshold of its path. Elements that are never content by their meaning (navigation, headers of
 the page, footers, asides, forms, scripts, styles, and blocks with a class, id or role that says notice, advert,
 comments and the like, whole or as its last part) are left out before any density is taken. A block that only its class, id
 or role marks is left to the density if it holds an article, a main or an h1, or else most of the page's text outside links
@@ -60,7 +60,10 @@ ASIDE_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments reply replies disqus".split())
 
 TOKEN = re.compile(
-    r"<!--(?:.*?)(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S
+    r"<!--(?:.*?)(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    # A quote that is never closed: the tag ends at the next bracket.
+    r"|<(?P<open_end>/?)(?P<open_name>[a-zA-Z][^\s/>]*)(?P<open_rest>[^>]*)>|<[!?/][^>]*>",
+    re.S,
 )
 # A name and its value, so that words of values are never names.
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -139,11 +142,11 @@ def parse(page: str) -> Node:
         if m.start() > at:
             stack[-1].children.append(page[at : m.start()])
         at = m.end()
-        name = m["name"]
+        name, rest = m["name"] or m["open_name"], m["rest"] or m["open_rest"] or ""
         if name is None:
             continue
         name = name.lower()
-        if m["end"]:
+        if m["end"] or m["open_end"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name == name:
                     del stack[i:]
@@ -170,11 +173,11 @@ def parse(page: str) -> Node:
                 if stack[i].name in stop:
                     break
         site_header = name == "header" and not any(n.name in ("article", "main") for n in stack)
-        skip, mark = _aside(name, m["rest"])
+        skip, mark = _aside(name, rest)
         node = Node(name, site_header or skip, mark)
         marked = marked or bool(mark)
         stack[-1].children.append(node)
-        if name in VOID or m["rest"].endswith("/") and name not in BLOCK:
+        if name in VOID or rest.endswith("/") and name not in BLOCK:
             continue
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
@@ -272,6 +275,19 @@ def _contents(path: list[Node], nodes: list[Node], parents: dict[int, Node]) ->
     return kept
 
 
+def _articles(outer: Node, nodes: list[Node], path: list[Node]) -> list[Node]:
+    """The article or main of the content, and in page order the others outside it as dense as the sparsest node on its path from body."""
+    threshold = min(n.density for n in path)
+    kept, todo = [], [path[-1]]
+    while todo:
+        node = todo.pop()
+        if node is outer or node.name in ("article", "main") and node not in path and node.chars and node.density >= threshold:
+            kept.append(node)
+        else:
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.skip)
+    return kept
+
+
 def main_text(page: str | None) -> str:
     """The text of the content node of a page."""
     if not page:
@@ -289,7 +305,7 @@ def main_text(page: str | None) -> str:
         if node.name in ("article", "main"):
             outer = node
     if outer:
-        return _texts(outer)
+        return " ".join(filter(None, map(_texts, _articles(outer, nodes, _upwards(outer, body, parents)))))
     return " ".join(filter(None, map(_texts, _contents(path, nodes, parents))))
 
 
