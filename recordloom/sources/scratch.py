@@ -69,11 +69,16 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(hadoop).delete(path, True)
 
 
+# Bytes of a row group. Readers often do more with a row than its writer did, so what one task
+# wrote should be open to several.
+ROW_GROUP = 8 << 20
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the written table."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
