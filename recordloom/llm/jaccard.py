@@ -39,10 +39,11 @@ from .common import ROW, bundles, keyed, whole_rows
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99999
 COORDINATES, CHOSEN, LOOKED_AT = 128, 2, 8
-SMALL = 256  # members of a node that are compared without splitting further
+SMALL = 1_024  # members of a node that are compared without splitting further: their sketches take less work than one more level
 DEEPEST = 16
 ALIKE = 0.6  # of a node's pairs sharing a coordinate's value: splitting is of no use
-BLOCK = 512  # members of a block; two blocks meet in one task
+BLOCK = 2_048  # sketches of a block, a quarter of a megabyte; two blocks meet in one task
+EXACT_BLOCK, EXACT_BYTES = 512, 8 << 20  # the same for exact sets
 LIKELY = 0.6  # sketch similarity below which a pair at the threshold lies with a probability of 7.6e-8
 
 find_words = re.compile(r"\w+").findall
@@ -93,18 +94,19 @@ class Shingler:
 
 
 def gram_sets(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """Of ``keyed`` documents: doc_id, k1, k2, set_key (digest of the set; NULL if empty) and minhashes as bytes."""
+    """Of ``keyed`` documents: doc_id, k1, k2, set_key (digest of the set; NULL if empty), minhashes, and a byte of each as sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in batches:
             sets = map(shingler.grams, batch.column("text").to_pylist())
-            found = [(hashlib.md5(s.tobytes()).digest(), shingler.minhashes(s).tobytes()) if len(s) else (None, None) for s in sets]
-            columns = [pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", *ROW)], *columns], names=["doc_id", *ROW, "set_key", "minhashes"])
+            found = [(hashlib.md5(s.tobytes()).digest(), shingler.minhashes(s)) if len(s) else (None, None) for s in sets]
+            columns = [[k for k, _ in found], *[[None if m is None else m.astype(kind).tobytes() for _, m in found] for kind in (np.uint32, np.uint8)]]
+            arrays = [*[batch.column(c) for c in ("doc_id", *ROW)], *[pa.array(c, pa.binary()) for c in columns]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *ROW, "set_key", "minhashes", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", *ROW, "text").mapInArrow(run, f"doc_id {kind}, k1 bigint, k2 bigint, set_key binary, minhashes binary")
+    return docs.select("doc_id", *ROW, "text").mapInArrow(run, f"doc_id {kind}, k1 bigint, k2 bigint, set_key binary, minhashes binary, sketch binary")
 
 
 def grams_of(texts: DataFrame, n: int = WORDS) -> DataFrame:
@@ -178,13 +180,13 @@ def leaves(sketches: DataFrame, runs: int) -> DataFrame:
     return materialize(reduce(DataFrame.union, done).distinct(), "leaves")
 
 
-def _blocks(members: DataFrame, weight: str, most: int) -> DataFrame:
+def _blocks(members: DataFrame, weight: str, most: int, block: int) -> DataFrame:
     """Add side and block pair (a <= b) for every meeting of blocks; a node is cut into blocks by the hash of the id.
 
-    ``weight`` is summed per node; a block gets about ``most`` of it, and about ``BLOCK`` members.
+    ``weight`` is summed per node; a block gets about ``most`` of it, and about ``block`` members.
     """
     sizes = members.groupBy("node").agg(F.count("*").alias("_n"), F.sum(weight).alias("_w"))
-    cut = F.greatest(F.ceil(F.col("_n") / BLOCK), F.ceil(F.col("_w") / most), F.lit(1)).cast("int")
+    cut = F.greatest(F.ceil(F.col("_n") / block), F.ceil(F.col("_w") / most), F.lit(1)).cast("int")
     cuts = sizes.select("node", cut.alias("cut"))
     own = F.pmod(F.xxhash64("id", "node"), F.col("cut")).cast("int")
     cuts = materialize(cuts.withColumnRenamed("node", "_node"), "cuts")
@@ -268,12 +270,12 @@ def _cross(table: pa.Table, i: np.ndarray, j: np.ndarray, own: np.ndarray) -> np
 
 
 def likely_members(members: DataFrame) -> DataFrame:
-    """(node, id) of members with a partner likely to reach the threshold, judged there; from node, id, minhashes, nodes."""
+    """(node, id) of members with a partner likely to reach the threshold, judged there; from node, id, sketch, nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
             starts, stops = _runs(table)
-            sketch = np.frombuffer(b"".join(table.column("minhashes").to_pylist()), np.uint32).reshape(-1, COORDINATES).astype(np.uint8)
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
             own, node = table.column("own").to_numpy(), table.column("node").to_numpy()
             meetings = Meetings(table.column("nodes"), node)
             found = np.zeros(table.num_rows, bool)
@@ -287,8 +289,8 @@ def likely_members(members: DataFrame) -> DataFrame:
                     found[near] = found[near + d] = True
             yield pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(table.column("id").to_numpy()[found])], names=["node", "id"])
 
-    rows = _blocks(members, "one", BLOCK)
-    rows = rows.select("node", "a", "b", "own", "id", "minhashes", "nodes")
+    rows = _blocks(members, "one", BLOCK, BLOCK)
+    rows = rows.select("node", "a", "b", "own", "id", "sketch", "nodes")
     dealt = rows.repartition("node", "a", "b").sortWithinPartitions("node", "a", "b")
     return dealt.mapInArrow(run, "node bigint, id bigint").distinct()
 
@@ -359,7 +361,7 @@ def exact_links(members: DataFrame) -> DataFrame:
                 [pa.array([r[k] for r in out], pa.int64()) for k in range(3)], names=["id", "other", "links"]
             )
 
-    rows = _blocks(members.withColumn("_bytes", F.octet_length("grams")), "_bytes", 8 << 20)
+    rows = _blocks(members.withColumn("_bytes", F.octet_length("grams")), "_bytes", EXACT_BYTES, EXACT_BLOCK)
     rows = rows.select("node", "a", "b", "own", "id", "size", "grams", "nodes")
     dealt = rows.repartition("node", "a", "b").sortWithinPartitions("node", "a", "b")
     return dealt.mapInArrow(run, "id bigint, other bigint, links bigint")
@@ -420,12 +422,12 @@ def near_copies(docs: DataFrame, n: int = WORDS, recall: float = RECALL) -> Data
     classes = listed.groupBy("set_key").agg(F.sum("n").alias("size"), F.min("least").alias("least"), F.min("sample").alias("sample"))
     classes = materialize(classes.withColumn("id", F.xxhash64("set_key")), "classes")
     # Equal sets have equal minhashes: the sample row of a class brings them.
-    sketches = sets.select(*ROW, "minhashes").join(classes.select("id", "sample.*"), ROW).select("id", "minhashes")
+    sketches = sets.select(*ROW, "minhashes", "sketch").join(classes.select("id", "sample.*"), ROW).select("id", "minhashes", "sketch")
     sketches = materialize(sketches.dropDuplicates(["id"]), "sketches")
 
-    places = leaves(sketches, root_runs(recall))
+    places = leaves(sketches.select("id", "minhashes"), root_runs(recall))
     lists = materialize(places.groupBy("id").agg(F.array_sort(F.collect_list("node")).alias("nodes")), "node_lists")
-    members = lists.join(sketches, "id").select("id", "minhashes", "nodes", F.lit(1).alias("one"), F.explode("nodes").alias("node"))
+    members = lists.join(sketches.select("id", "sketch"), "id").select("id", "sketch", "nodes", F.lit(1).alias("one"), F.explode("nodes").alias("node"))
     likely = materialize(likely_members(members), "likely")
     chosen = materialize(likely.groupBy("id").agg(F.collect_list("node").alias("at")), "chosen")
     samples = chosen.join(classes, "id").select("id", F.col("sample.k1").alias("s1"), F.col("sample.k2").alias("s2"))
