@@ -13,7 +13,8 @@ Comparing has two steps, both in blocks of bounded size, so a node that holds a
 tasks. Minhash sketches first tell which members have any likely partner; then exact sets of n-grams
 are intersected. A pair that meets in several nodes is judged in the first of them only. What leaves a block is one
 number per member (its links) and a spanning forest of the links, never the pairs themselves; connected
-components follow by repeated contraction.
+components follow by repeated contraction. Where only classes are asked for, members already known to be of one class are
+not compared with each other (``class_edges``).
 
 A word is a run of letters, digits or underscores, lower-cased. Texts of fewer than five words, but not none,
 are one n-gram of all their words; NULL, empty and wordless texts have no n-grams and stay alone. Repeated rows are
@@ -30,7 +31,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import sized_join
@@ -337,6 +338,12 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
 
 def exact_links(members: DataFrame) -> DataFrame:
     """(id, other, links): per member and meeting the weight of its partners (other NULL), and the forest's edges (links 0)."""
+    rows = _blocks(members.withColumn("_bytes", F.octet_length("grams")), "_bytes", EXACT_BYTES, EXACT_BLOCK)
+    return _linked(rows)
+
+
+def _linked(rows: DataFrame) -> DataFrame:
+    """``exact_links`` of members that meet as their columns own, a and b say; a pair that an earlier node of ``nodes`` holds is left to that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
@@ -361,12 +368,70 @@ def exact_links(members: DataFrame) -> DataFrame:
                 [pa.array([r[k] for r in out], pa.int64()) for k in range(3)], names=["id", "other", "links"]
             )
 
-    rows = _blocks(members.withColumn("_bytes", F.octet_length("grams")), "_bytes", EXACT_BYTES, EXACT_BLOCK)
     rows = rows.select("node", "a", "b", "own", "id", "size", "grams", "nodes")
     dealt = rows.repartition("node", "a", "b").sortWithinPartitions("node", "a", "b")
     return dealt.mapInArrow(run, "id bigint, other bigint, links bigint")
 
 
+def _cuts(members: DataFrame) -> Column:
+    """An aggregate: into how many blocks of bounded members and bytes a group of members is cut."""
+    return F.greatest(F.ceil(F.count("*") / EXACT_BLOCK), F.ceil(F.sum(F.octet_length("grams")) / EXACT_BYTES), F.lit(1)).cast("int")
+
+
+def _alone(members: DataFrame) -> DataFrame:
+    """Every block of a node by itself, so each member is there once."""
+    cuts = materialize(members.groupBy(F.col("node").alias("_node")).agg(_cuts(members).alias("cut")), "cuts")
+    met = sized_join(members, cuts, [(F.col("node"), F.col("_node"))], "inner")
+    own = F.pmod(F.xxhash64("id", "node"), F.col("cut")).cast("int")
+    return met.withColumn("own", own).withColumns({"a": F.col("own"), "b": F.col("own"), "nodes": F.array().cast("array<bigint>")})
+
+
+def _with_class(members: DataFrame, edges: DataFrame) -> DataFrame:
+    roots = materialize(components(edges), "roots").withColumnRenamed("id", "_id")
+    joined = sized_join(members, roots, [(F.col("id"), F.col("_id"))], "left", spread=["id", "node"])
+    return joined.withColumn("class", F.coalesce("root", "id")).drop("_id", "root")
+
+
+def _rest_meets_all(members: DataFrame) -> DataFrame:
+    """Of nodes that hold several classes: the members outside the node's largest class meet each other and that class.
+
+    Blocks of the rest come first in number, then those of the largest class, which do not meet each other.
+    """
+    classes = members.groupBy("node", "class").agg(F.count("*").alias("n"), _cuts(members).alias("cut"), F.sum(F.octet_length("grams")).alias("bytes"))
+    nodes = classes.groupBy(F.col("node").alias("_node")).agg(
+        F.max(F.struct("n", "class", "cut")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("classes")
+    )
+    rest = F.greatest(F.ceil((F.col("n") - F.col("top.n")) / EXACT_BLOCK), F.ceil(F.col("bytes") / EXACT_BYTES)).cast("int")
+    mixed = materialize(
+        nodes.filter("classes > 1").select("_node", F.col("top.class").alias("largest"), F.col("top.cut").alias("large"), rest.alias("rest")), "mixed_nodes"
+    )
+    met = sized_join(members, mixed, [(F.col("node"), F.col("_node"))], "inner")
+    hashed = F.xxhash64("id", "node")
+    inner = F.col("class") == F.col("largest")
+    own = F.when(inner, F.col("rest") + F.pmod(hashed, F.col("large"))).otherwise(F.pmod(hashed, F.col("rest"))).cast("int")
+    last = F.when(inner, F.col("rest") - 1).otherwise(F.col("rest") + F.col("large") - 1)
+    met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return met.withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")})
+
+
+def class_edges(members: DataFrame) -> DataFrame:
+    """(id, other): links that connect every class of linked members, without comparing a large class with itself.
+
+    First each block of a node is compared alone, then one member of every class so found with those of
+    the others in its node. Near copies of one text are one class by then, and only members outside the largest
+    class of a node still meet all others: the rows grow with a group, not with its square.
+    """
+    edges = lambda links: links.filter("other IS NOT NULL").select("id", "other")
+    found = materialize(edges(_linked(_alone(members))), "block_links")
+    classed = materialize(_with_class(members, found).select("node", "class", "id"), "block_classes")
+    chosen = materialize(classed.groupBy(F.col("node").alias("_node"), "class").agg(F.min("id").alias("_id")).drop("class"), "chosen_members")
+    spoken = sized_join(members, chosen, [(F.col("node"), F.col("_node")), (F.col("id"), F.col("_id"))], "left_semi", spread=["id"])
+    met = _blocks(spoken.withColumns({"_bytes": F.octet_length("grams"), "nodes": F.array().cast("array<bigint>")}), "_bytes", EXACT_BYTES, EXACT_BLOCK)
+    found = materialize(found.union(edges(_linked(met))), "class_links")
+    rest = _rest_meets_all(_with_class(members, found))
+    return found.union(edges(_linked(rest)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) of every end of the edges (id, other): contraction to a neighbour of least random rank, round by round.
 
@@ -411,11 +476,15 @@ def root_runs(recall: float) -> int:
     return math.ceil(math.log(1 - recall - unlikely) / math.log(1 - kept))
 
 
-def near_copies(docs: DataFrame, n: int = WORDS, recall: float = RECALL) -> DataFrame:
-    """Per document: doc_id, k1, k2, class_id (least id among its near copies and theirs) and n_links (other documents at the threshold)."""
+def near_copies(docs: DataFrame, n: int = WORDS, recall: float = RECALL, count: bool = True) -> DataFrame:
+    """Per document: doc_id, k1, k2, class_id (least id among its near copies and theirs) and n_links (other documents at the threshold).
+
+    To count the links, all members of a node are compared. Without ``count`` the classes are the same, n_links is NULL, and
+    members known to be of one class are not compared with each other.
+    """
     rows = keyed(docs)
     sets = materialize(gram_sets(rows, n), "gram_sets")
-    alone = sets.filter("set_key IS NULL").select("doc_id", *ROW, F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
+    alone = sets.filter("set_key IS NULL").select("doc_id", *ROW, F.col("doc_id").alias("class_id"), F.lit(0 if count else None).cast("bigint").alias("n_links"))
     own = sets.filter("set_key IS NOT NULL").select("set_key", "doc_id", *ROW)
     listed = bundles(own, ["set_key"], ["doc_id", *ROW], n=F.count("*"), least=F.min("doc_id"), sample=F.min(F.struct(*ROW)))
     listed = materialize(listed, "same_sets")
@@ -436,24 +505,28 @@ def near_copies(docs: DataFrame, n: int = WORDS, recall: float = RECALL) -> Data
     grams = materialize(grams_of(texts, n).dropDuplicates(["id"]), "grams")
     compared = grams.join(chosen, "id").join(lists, "id").join(classes.select("id", "size"), "id")
     compared = compared.select("id", "size", "grams", "nodes", F.explode("at").alias("node"))
-    found = materialize(exact_links(compared), "links")
-
-    links = found.filter("other IS NULL").groupBy("id").agg(F.sum("links").alias("links"))
-    roots = components(found.filter("other IS NOT NULL"))
+    if count:
+        found = materialize(exact_links(compared), "links")
+        links = found.filter("other IS NULL").groupBy("id").agg(F.sum("links").alias("links"))
+        roots = components(found.filter("other IS NOT NULL"))
+    else:
+        links = classes.limit(0).select("id", F.lit(0).cast("bigint").alias("links"))
+        roots = components(class_edges(materialize(compared, "compared")))
     named = classes.join(links, "id", "left").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = materialize(named, "named_classes")
     # The least document of a component reaches all its classes through short lists, however many there are.
     spread = bundles(named.select("root", "set_key", "least", "links", "size"), ["root"], ["set_key", "links", "size"], low=F.min("least"))
     lowest = spread.groupBy("root").agg(F.min("low").alias("class_id"))
     per_class = spread.join(lowest, "root").select("class_id", F.inline("rows"))
-    per_class = per_class.select("set_key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
+    n_links = F.coalesce("links", F.lit(0)) + F.col("size") - 1 if count else F.lit(None).cast("bigint")
+    per_class = per_class.select("set_key", "class_id", n_links.alias("n_links"))
     together = listed.join(per_class, "set_key").select("class_id", "n_links", F.inline("rows"))
     return together.select("doc_id", *ROW, "class_id", "n_links").union(alone.select("doc_id", *ROW, "class_id", "n_links"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows, with all columns, of the least document of every class; of rows repeated in full one stays."""
-    judged = materialize(near_copies(docs), "near_copies")
+    judged = materialize(near_copies(docs, count=False), "near_copies")
     copies = judged.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(*[F.col(k).alias(f"c{k}") for k in ROW]).distinct()
     again = judged.groupBy(*[F.col(k).alias(f"c{k}") for k in ROW]).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     again = materialize(again, "repeated_rows")
