@@ -55,6 +55,7 @@ def sized_join(
     budget: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     count_keys_in: DataFrame | None = None,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Equi-join on pairs of (left expression, right expression), without shuffling ``left`` if it can.
 
@@ -63,7 +64,7 @@ def sized_join(
     copy of the matching right rows, and rows with a NULL key are spread out. No row
     is dropped either way. ``spread`` names left columns that vary within a hot key
     (default: all). ``count_keys_in`` may give a cheaper frame with the left keys to look
-    for hot ones in. ``left`` and ``right`` must have no column name in common.
+    for hot ones in, ``strategy`` a join hint for the shuffle. ``left`` and ``right`` must have no column name in common.
     """
     keys = [f"_k{i}" for i in range(len(on))]
     left_keys = {k: expr for k, (expr, _) in zip(keys, on)}
@@ -89,6 +90,7 @@ def sized_join(
         "_saltr", F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1))
     )
     salted_right = salted_right.drop("_splits")
+    salted_right = salted_right.hint(strategy) if strategy else salted_right
     condition = reduce(and_, [*match, F.col("_salt") == F.col("_saltr")])
     return salted_left.join(salted_right, condition, how).drop(*helpers).select(
         *left.columns, *([] if how in ("left_anti", "left_semi") else right.columns)

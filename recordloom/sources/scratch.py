@@ -63,10 +63,13 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _owned.reset(token)
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for folder in owned:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(hadoop).delete(path, True)
+            delete_path(spark, folder)
+
+
+def delete_path(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Bytes of a row group. Readers often do more with a row than its writer did, so what one task

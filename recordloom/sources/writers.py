@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .scratch import delete_path
+
 
 def database_for(layer: str, layers: Mapping[str, str | None], default: str) -> str:
     """The database of a layer: its configured name, trimmed and otherwise verbatim, else the default."""
@@ -23,11 +25,6 @@ def _moved(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
-def _deleted(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def _folders(spark: SparkSession, pattern: str) -> list[str]:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
@@ -68,9 +65,9 @@ def write_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Seq
                 _moved(spark, aside, path)
             raise
     finally:
-        _deleted(spark, staged)
+        delete_path(spark, staged)
     for left in _folders(spark, f"{folder}/_replaced-{name}-*"):
-        _deleted(spark, left)
+        delete_path(spark, left)
     spark.catalog.refreshByPath(path)
     return spark.read.format(fmt).schema(df.schema).load(path)
 

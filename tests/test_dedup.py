@@ -3,7 +3,7 @@ import datetime as dt
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from recordloom.operators.dedup import keep_latest
+from recordloom.operators.dedup import keep_latest, keep_latest_wide
 from recordloom.operators.filters import in_scope
 
 SCHEMA = "k string, t timestamp, v int"
@@ -54,3 +54,19 @@ def test_maps_break_ties_whatever_the_order_of_their_entries(spark):
     df = spark.sql("select * from values (1, map('a', map('x', 1), 'b', null)), (1, map('b', null, 'a', map('x', 0))) as t(k, m)")
     for rows in (df, df.orderBy(F.monotonically_increasing_id().desc())):
         assert [r.m["a"] for r in keep_latest(rows.repartition(2), "k", []).collect()] == [{"x": 0}]
+
+
+def test_wide_rows_are_kept_alike_and_not_sorted(spark):
+    rows = [("hot" if i % 3 == 0 else None if i % 7 == 0 else f"k{i % 11}", DAY + dt.timedelta(i * 37 % 50), i % 90, "payload" * 5) for i in range(200)]
+    rows += [rows[-1]] * 40  # repeated in full
+    df = spark.createDataFrame(rows, "k string, t timestamp, v int, wide string").repartition(6)
+    want = sorted(map(tuple, keep_latest(df, "k", _latest(), ["v"]).collect()), key=repr)
+    for options in ({}, {"budget": 0, "rows_per_task": 20}):
+        out = keep_latest_wide(df, "k", _latest(), ["v"], **options)
+        assert out.columns == df.columns and sorted(map(tuple, out.collect()), key=repr) == want
+        sorts = [line for line in plan_of(out).splitlines() if "Sort " in line or "SortAggregate" in line or "SortMergeJoin" in line]
+        assert not [line for line in sorts if "wide" in line]
+        assert "SortMergeJoin LeftSemi" not in plan_of(out)
+    assert keep_latest_wide(df.limit(0), "k", _latest(), ["v"]).count() == 0
+    maps = spark.sql("select * from values (1, map('a', 1), 5), (1, map('a', 0), 5) as t(k, m, v)")
+    assert keep_latest_wide(maps.union(maps), "k", [], ["v"]).count() == 1

@@ -385,6 +385,7 @@ _PLAIN: dict[str, str] = {
 }
 
 _PLAIN["region_enrich_split"] = _PLAIN["region_enrich"]
+_PLAIN["dedup_keep_latest_wide"] = _PLAIN["dedup_keep_latest"]
 
 ORACLE: dict[str, str] = {name: with_steps(sql) for name, sql in _PLAIN.items()}
 

@@ -13,7 +13,7 @@ from recordloom.functions.geometry import wkt_edges
 from recordloom.functions.keys import surrogate_key
 from recordloom.operators import lookups as lk
 from recordloom.operators import quality, regions as rg
-from recordloom.operators.dedup import keep_latest
+from recordloom.operators.dedup import keep_latest, keep_latest_wide
 from recordloom.operators.filters import in_scope, needs_region
 from recordloom.operators.members import union_members
 from recordloom.operators.projection import replace_columns
@@ -178,6 +178,13 @@ def dedup_keep_latest(spark: SparkSession, sf: str) -> DataFrame:
     return keep_latest(table(spark, sf, "orders"), "o_custkey", [col("o_orderdate").desc_nulls_last()], ["o_orderkey"])
 
 
+@query
+def dedup_keep_latest_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """By ranking keys and digests, beyond the broadcast budget."""
+    orders = table(spark, sf, "orders")
+    return keep_latest_wide(orders, "o_custkey", [col("o_orderdate").desc_nulls_last()], ["o_orderkey"], budget=0)
+
+
 @query
 def union_distinct_dates(spark: SparkSession, sf: str) -> DataFrame:
     ordered = dim.days(table(spark, sf, "orders"), "o_orderdate")
