@@ -38,7 +38,7 @@ from .common import read
 BEST = 50
 SHARD_DOCS, SHARD_POSTINGS = 4_096, 1 << 20  # a shard ends with the document that reaches either
 POSTINGS_AT_ONCE = 4 << 20  # of the items whose intervals are held at the same time; an item of more is alone
-BLOCK_BYTES = 16 << 20  # of item texts; their terms are sent to every task
+BLOCK_BYTES = 4 << 20  # of item texts; their terms, some 700,000 at most, are sent to every task
 FIRST_ROUND = 16  # one in so many documents
 TAKEN = 16  # intervals of an item in its first step; each step doubles it
 MOST_TAKEN = 1_024
