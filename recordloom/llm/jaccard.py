@@ -400,9 +400,11 @@ def _rest_meets_all(members: DataFrame) -> DataFrame:
     """
     classes = members.groupBy("node", "class").agg(F.count("*").alias("n"), _cuts(members).alias("cut"), F.sum(F.octet_length("grams")).alias("bytes"))
     nodes = classes.groupBy(F.col("node").alias("_node")).agg(
-        F.max(F.struct("n", "class", "cut")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("classes")
+        F.max(F.struct("n", "class", "cut", "bytes")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("classes")
     )
-    rest = F.greatest(F.ceil((F.col("n") - F.col("top.n")) / EXACT_BLOCK), F.ceil(F.col("bytes") / EXACT_BYTES)).cast("int")
+    rest = F.greatest(
+        F.ceil((F.col("n") - F.col("top.n")) / EXACT_BLOCK), F.ceil((F.col("bytes") - F.col("top.bytes")) / EXACT_BYTES), F.lit(1)
+    ).cast("int")
     mixed = materialize(
         nodes.filter("classes > 1").select("_node", F.col("top.class").alias("largest"), F.col("top.cut").alias("large"), rest.alias("rest")), "mixed_nodes"
     )
