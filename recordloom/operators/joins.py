@@ -55,7 +55,7 @@ def sized_join(
     budget: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     count_keys_in: DataFrame | None = None,
-    strategy: str | None = None,
+    strategy: str = "merge",
 ) -> DataFrame:
     """Equi-join on pairs of (left expression, right expression), without shuffling ``left`` if it can.
 
@@ -65,6 +65,9 @@ def sized_join(
     is dropped either way. ``spread`` names left columns that vary within a hot key
     (default: all). ``count_keys_in`` may give a cheaper frame with the left keys to look
     for hot ones in, ``strategy`` a join hint for the shuffle. ``left`` and ``right`` must have no column name in common.
+
+    The shuffle is always asked for by a hint: Spark judges a table by its file, a small part of what it takes in memory,
+    and would broadcast what was just found too large.
     """
     keys = [f"_k{i}" for i in range(len(on))]
     left_keys = {k: expr for k, (expr, _) in zip(keys, on)}
@@ -79,7 +82,7 @@ def sized_join(
     counted = left if count_keys_in is None else count_keys_in
     hot, hot_size = _hot_keys(counted.withColumns(left_keys), keys, rows_per_task)
     # A list beyond the budget is joined by a shuffle.
-    listed = F.broadcast if hot_size <= budget else (lambda df: df)
+    listed = F.broadcast if hot_size <= budget else (lambda df: df.hint("merge"))
     row_hash = F.xxhash64(*(spread or _hashable(left)))
     splits = F.coalesce(F.col("_splits"), F.lit(1).cast("bigint"))
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
@@ -89,8 +92,7 @@ def sized_join(
     salted_right = keyed_right.join(listed(hot_right), [f"{k}r" for k in keys], "left").withColumn(
         "_saltr", F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1))
     )
-    salted_right = salted_right.drop("_splits")
-    salted_right = salted_right.hint(strategy) if strategy else salted_right
+    salted_right = salted_right.drop("_splits").hint(strategy)
     condition = reduce(and_, [*match, F.col("_salt") == F.col("_saltr")])
     return salted_left.join(salted_right, condition, how).drop(*helpers).select(
         *left.columns, *([] if how in ("left_anti", "left_semi") else right.columns)

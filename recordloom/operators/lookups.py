@@ -115,7 +115,7 @@ def _look_up_together(feed: DataFrame, lookups: Sequence[Lookup], dims: Sequence
     found = sized_join(asked, members, on, "inner", ["_row"], budget + 1, budget, rows_per_task)
     answer = [F.collect_list(F.when(F.col("_dim") == i, F.struct("_key"))).alias(f"_answer{i}") for i in range(len(lookups))]
     answers = materialize(found.groupBy("_row").agg(*answer), "answers")
-    joined = fed.join(answers, "_row", "left")
+    joined = fed.join(answers.hint("merge"), "_row", "left")
     for i, (lk, dim) in enumerate(zip(lookups, dims)):
         kind = dim.schema[f"_dim_{lk.key}"].dataType
         # A value with several members gives as many rows, like a join.

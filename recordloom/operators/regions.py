@@ -182,6 +182,23 @@ def _unit_tiles(units: DataFrame, first: Column, last: Column, only: list[int] |
     )
 
 
+def _on(*keys: str) -> list[tuple[Column, Column]]:
+    return [(F.col(k), F.col(f"_at_{k}")) for k in keys]
+
+
+def _at(table: DataFrame, *keys: str) -> DataFrame:
+    return table.withColumnsRenamed({k: f"_at_{k}" for k in keys})
+
+
+def _on_tiles(tiles: DataFrame, probes: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows of ``tiles`` with those of ``probes`` in the same tile; the latter are written, and broadcast if they fit the budget.
+
+    Left alone, Spark judges either side by the file it is computed from, before every row of that becomes hundreds.
+    """
+    probes, size = materialize_measured(_at(probes, *TILE), "probes")
+    return sized_join(tiles, probes, _on(*TILE), how, size=size)
+
+
 UNIT = ["size", *CELL_KEY]
 UNIT_BOX = ["x0", "x1", "y0", "y1", "low", "high"]
 
@@ -235,7 +252,7 @@ def candidate_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL)
     leveled = _native_level(regions, cell)
     native = _region_tiles(leveled.withColumnRenamed("native", "level"), cell, 0)
     probes = _unit_tiles(_with_box(_as_units(cells), cell), F.lit(0), F.lit(_top_level(cell)), _native_levels(leveled))
-    touching = probes.join(native, TILE).filter("xmin <= x1 and xmax >= x0 and ymin <= y1 and ymax >= y0")
+    touching = _on_tiles(native, probes).filter("xmin <= x1 and xmax >= x0 and ymin <= y1 and ymax >= y0")
     return touching.select(*CELL_KEY, "region_id")
 
 
@@ -286,14 +303,14 @@ def _tiles_of_runs(runs: str, cell: float) -> Column:
     )
 
 
-def _inside(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
+def _inside(cells: DataFrame, cells_bytes: int, regions: DataFrame, cell: float) -> DataFrame:
     """(level, tx, cy, derived_zip, derived_borough, whole, edges), region by region and row by row of cells.
 
     Where no edge runs through, a run of cells lies on one side of the region as a whole. Rows without
     points are left out, and so are single cells without any.
     """
     occupied_rows = cells.select("cy").distinct()
-    rows = _edge_rows(regions, cell).join(occupied_rows, "cy", "left_semi")
+    rows = sized_join(_edge_rows(regions, cell), _at(occupied_rows, "cy"), _on("cy"), "left_semi", size=cells_bytes)
     rows = rows.groupBy("region_id", "cy", "derived_zip", "derived_borough").agg(F.collect_list("e").alias("edges"))
     columns = F.flatten(F.transform("edges", lambda e: _columns_touched(e, cell)))
     rows = rows.withColumn("touched", F.array_sort(F.array_distinct(columns)))
@@ -311,7 +328,8 @@ def _inside(cells: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     placed = listed.select("derived_zip", "derived_borough", "cy", "edges", "t.*")
     single = F.when(F.col("level") == 0, F.col("tx"))
     known = cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"))
-    placed = placed.join(known, (single == F.col("_cx")) & (F.col("cy") == F.col("_cy")), "left").filter("level > 0 or _cx is not null")
+    match = [(single, F.col("_cx")), (F.col("cy"), F.col("_cy"))]
+    placed = sized_join(placed, known, match, "left", ["level", "tx", "cy"], cells_bytes).filter("level > 0 or _cx is not null")
     in_reach = F.filter("edges", lambda e: ~F.col("whole") & (F.greatest(e.x1, e.x2) >= F.col("tx") * cell))
     return placed.select("level", "tx", "cy", "derived_zip", "derived_borough", "whole", in_reach.alias("edges"))
 
@@ -324,8 +342,8 @@ def _at_levels(cells: DataFrame, levels: tuple[int, ...]) -> DataFrame:
     return leveled.withColumn("tx", F.expr("shiftright(cx, level)"))
 
 
-def _pieces(regions: DataFrame, cell: float) -> DataFrame:
-    """The edges of every region in pieces, each a small region of the same labels with a box of its own.
+def _pieces(regions: DataFrame, cell: float) -> tuple[DataFrame, int]:
+    """The edges of every region in pieces, each a small region of the same labels with a box of its own, and their size.
 
     A piece holds the edges of about one size that start in one tile, so its box is as small as they
     allow, and what is near one end of a region does not meet the edges of the other.
@@ -340,18 +358,23 @@ def _pieces(regions: DataFrame, cell: float) -> DataFrame:
         F.collect_list("e").alias("edges"),
         F.min(west).alias("xmin"), F.max(east).alias("xmax"), F.min(low).alias("ymin"), F.max(high).alias("ymax"),
     )
-    return materialize(pieces.drop("side", "tx", "ty").withColumn("region_id", F.monotonically_increasing_id()), "pieces")
+    return materialize_measured(pieces.drop("side", "tx", "ty").withColumn("region_id", F.monotonically_increasing_id()), "pieces")
 
 
 def _near(cells: DataFrame, regions: DataFrame, cell: float) -> tuple[DataFrame, int, DataFrame, int]:
     """The unit of every cell (cx, cy, size, ux, uy), the edges near each unit, and the sizes of both tables."""
     top = F.lit(_top_level(cell))
-    regions = _pieces(regions, cell)
+    regions, regions_bytes = _pieces(regions, cell)
     native = _native_level(regions, cell)
-    tiles = native.withColumn("level", F.explode(F.sequence(F.col("native"), top)))
-    tiles = _region_tiles(tiles, cell, 1)
-    own_tiles = _region_tiles(native.withColumn("level", F.col("native")), cell, 1)
-    shapes = regions.select("region_id", "derived_zip", "derived_borough", "edges")
+    # Only tiles that hold a cell are ever asked for: far fewer than those of all pieces on all levels.
+    asked, asked_bytes = materialize_measured(_unit_tiles(_as_units(cells), F.lit(0), top).select(*TILE).distinct(), "asked")
+
+    def held(leveled: DataFrame) -> DataFrame:
+        return sized_join(_region_tiles(leveled, cell, 1), _at(asked, *TILE), _on(*TILE), "left_semi", size=asked_bytes)
+
+    tiles = held(native.withColumn("level", F.explode(F.sequence(F.col("native"), top))))
+    own_tiles = held(native.withColumn("level", F.col("native")))
+    shapes = regions.select(F.col("region_id").alias("_of"), "derived_zip", "derived_borough", "edges")
     box = [F.col(c) for c in BOX]
 
     def least(e: Column) -> Column:
@@ -363,8 +386,8 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> tuple[DataFrame,
     # The finest level on which some region is in or next to the cell's tile. All regions are
     # farther than a tile of the level below, so cells can be handled together in units of an
     # eighth of the tile found: small next to the distance, and few however many cells are far out.
-    taken = tiles.select(*TILE).distinct()
-    found = _unit_tiles(_as_units(cells), F.lit(0), top).join(taken, TILE).groupBy(*CELL_KEY).agg(F.min("level").alias("at"))
+    found = _on_tiles(_unit_tiles(_as_units(cells), F.lit(0), top), tiles.select(*TILE).distinct())
+    found = found.groupBy(*CELL_KEY).agg(F.min("level").alias("at"))
     grouped = found.withColumn("size", F.greatest(F.lit(0), F.col("at") - 3)).withColumns(
         {"ux": F.expr("shiftright(cx, size)"), "uy": F.expr("shiftright(cy, size)")}
     )
@@ -374,7 +397,7 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> tuple[DataFrame,
 
     # The boxes of the pieces found there bound the distance from any point of the unit.
     keep = [*UNIT, *UNIT_BOX]
-    first = _unit_tiles(units, F.col("at"), F.col("at")).join(tiles, TILE)
+    first = _on_tiles(tiles, _unit_tiles(units, F.col("at"), F.col("at")))
     bound = first.groupBy(*keep).agg(F.min(_most_distance(*box)).alias("bound"))
 
     # On the level whose tiles are as large as that bound, nothing beyond the neighbours can matter.
@@ -382,15 +405,15 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> tuple[DataFrame,
         F.sequence(F.col("size"), top),
         lambda level: F.pow(F.lit(2.0), level) * cell * F.col("low") >= F.col("bound") + SLACK,
     )
-    bound = bound.withColumn("at", F.coalesce(F.array_min(wide_enough), top))
-    here = _unit_tiles(bound, F.col("at"), F.col("at")).join(tiles, TILE)
-    larger = _unit_tiles(bound, F.col("at") + 1, top, _native_levels(native)).join(own_tiles, TILE)
+    bound = materialize(bound.withColumn("at", F.coalesce(F.array_min(wide_enough), top)), "bound")
+    here = _on_tiles(tiles, _unit_tiles(bound, F.col("at"), F.col("at")))
+    larger = _on_tiles(own_tiles, _unit_tiles(bound, F.col("at") + 1, top, _native_levels(native)))
     wanted = [*keep, "bound", "region_id", *BOX]
     pairs = here.select(*wanted).unionByName(larger.select(*wanted))
     pairs = pairs.filter(_least_distance(*box) <= F.col("bound") + SLACK).drop(*BOX, "bound")
     # Their edges give a closer bound.
     reach = F.array_min(F.transform("edges", most))
-    shaped = pairs.join(shapes, "region_id").withColumn("bound", F.min(reach).over(Window.partitionBy(*UNIT)))
+    shaped = sized_join(pairs, shapes, [(F.col("region_id"), F.col("_of"))], "inner", UNIT, regions_bytes).withColumn("bound", F.min(reach).over(Window.partitionBy(*UNIT)))
     within = F.filter("edges", lambda e: least(e) <= F.col("bound") + SLACK)
     shaped = shaped.withColumn("edges", within).filter(F.size("edges") > 0)
     per_unit = shaped.groupBy(
@@ -401,16 +424,18 @@ def _near(cells: DataFrame, regions: DataFrame, cell: float) -> tuple[DataFrame,
 
 def index_regions(cells: DataFrame, regions: DataFrame, cell: float = CELL, with_near: bool = True) -> RegionIndex:
     """Build the candidate tables for the occupied cells; ``near`` is only needed to look for the nearest."""
-    cells = materialize(cells, "cells")
-    covers = _inside(cells, regions, cell)
+    cells, cells_bytes = materialize_measured(cells, "cells")
+    covers = _inside(cells, cells_bytes, regions, cell)
     levels = F.bit_or(F.expr("shiftleft(1L, level)"))
     inside, seen = materialize_observed(covers, "inside", bytes=byte_count(covers), levels=levels)
     present = tuple(level for level in range(_top_level(cell) + 1) if (seen["levels"] or 1) >> level & 1)
     if not with_near:
         return RegionIndex(cell, cells, inside, seen["bytes"], present)
-    whole = inside.filter("whole").select("level", "tx", "cy").distinct()
-    covered = _at_levels(cells, present).join(whole, ["level", "tx", "cy"], "left_semi").select(*CELL_KEY)
-    open_cells = cells.join(covered, CELL_KEY, "left_anti")
+    tile = ["level", "tx", "cy"]
+    whole, whole_bytes = materialize_measured(_at(inside.filter("whole").select(*tile).distinct(), *tile), "whole")
+    covered = sized_join(_at_levels(cells, present), whole, _on(*tile), "left_semi", size=whole_bytes).select(*CELL_KEY).distinct()
+    open_cells = sized_join(cells, _at(covered, *CELL_KEY), _on(*CELL_KEY), "left_anti", size=cells_bytes)
+    open_cells = materialize(open_cells, "open_cells")
     return RegionIndex(cell, cells, inside, seen["bytes"], present, *_near(open_cells, regions, cell))
 
 
@@ -424,14 +449,6 @@ def as_points(rows: DataFrame, key: str, x: Column, y: Column, cell: float) -> D
     )
 
 
-def _on(*keys: str) -> list[tuple[Column, Column]]:
-    return [(F.col(k), F.col(f"_at_{k}")) for k in keys]
-
-
-def _at(table: DataFrame, *keys: str) -> DataFrame:
-    return table.withColumnsRenamed({k: f"_at_{k}" for k in keys})
-
-
 def containing(points: DataFrame, index: RegionIndex, key: str, multi: str = "all", **join) -> DataFrame:
     """(key, derived_zip, derived_borough) for every region that contains the point."""
     tile = ["level", "tx", "cy"]
@@ -475,9 +492,11 @@ def region_of(points: DataFrame, index: RegionIndex, key: str, multi: str = "all
 def _by_cell(index: RegionIndex) -> DataFrame:
     """Per occupied cell the regions that cover or may contain it, and its unit: one row to look at for a point."""
     entry = F.struct("derived_zip", "derived_borough", "whole", "edges")
-    placed = _at_levels(index.cells, index.levels).join(index.inside, ["level", "tx", "cy"])
-    listed = placed.groupBy(*CELL_KEY).agg(F.collect_list(entry).alias("_inside"))
-    return index.cells.join(listed, CELL_KEY, "left").join(index.units, CELL_KEY, "left").filter("_inside is not null or size is not null")
+    tile = ["level", "tx", "cy"]
+    placed = sized_join(_at_levels(index.cells, index.levels), _at(index.inside, *tile), _on(*tile), "inner", size=index.inside_bytes)
+    listed = placed.groupBy(*CELL_KEY).agg(F.collect_list(entry).alias("_inside")).hint("merge")
+    known = index.cells.join(listed, CELL_KEY, "left").join(index.units.hint("merge"), CELL_KEY, "left")
+    return known.filter("_inside is not null or size is not null")
 
 
 def _with_region_in_row(rows: DataFrame, by_cell: DataFrame, index: RegionIndex, multi: str) -> DataFrame:

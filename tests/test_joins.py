@@ -62,3 +62,12 @@ def test_size_is_counted_while_writing(spark):
     table, size = materialize_measured(df)
     assert table.count() == 2 and size == measure(table)[0] > 0
     assert materialize_measured(df.limit(0))[1] == 0
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_beyond_the_budget_nothing_but_hot_keys_is_broadcast(spark, how):
+    """However small the file: it may take a hundred times as much in memory."""
+    left, right = _sides(spark)
+    joined = sized_join(materialize(left), right, [(F.col("a"), F.col("ra")), (F.col("b"), F.col("rb"))], how, budget=0, rows_per_task=10_000)
+    joined.count()
+    assert "SortMergeJoin" in plan_of(joined)

@@ -251,3 +251,23 @@ def test_far_and_hidden_vertices(spark):
     points = [(rng.uniform(-74.4, -73.6), rng.uniform(40.4, 41.0)) for _ in range(400)]
     assert _derive(spark, seed, points, 1 / 64) == _expected(seed, points)
     assert _derive(spark, seed, points, 1 / 64, budget=0, rows_per_task=30) == _expected(seed, points)
+
+
+def test_no_join_of_the_index_is_left_to_file_sizes(spark, monkeypatch):
+    """Every join says how it is done: by the measured size of a side, never by that of the file a side is computed from."""
+    plans = []
+    for owner, name in [(rg, "materialize"), (rg, "materialize_measured"), (rg, "materialize_observed")]:
+        def write(df, *args, _real=getattr(owner, name), **metrics):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return _real(df, *args, **metrics)
+
+        monkeypatch.setattr(owner, name, write)
+    rng = random.Random(5)
+    seed = spark.createDataFrame(_random_seed(rng, 40, *WORLDS["city"][0]), SEED)
+    df = spark.createDataFrame([(str(i), rng.uniform(-74.6, -73.4), rng.uniform(40.2, 41.2)) for i in range(300)], "id string, lon double, lat double")
+    x, y = rg.point(F.col("lon"), F.col("lat"))
+    index = rg.index_regions(rg.occupied_cells(df, x, y), rg.parse_regions(seed))
+    plans.append(rg.with_region(df, index, "id", x, y, F.lit(True))._jdf.queryExecution().optimizedPlan().toString())
+    plans.append(rg.candidate_regions(index.cells, rg.parse_regions(seed))._jdf.queryExecution().optimizedPlan().toString())
+    joins = [line for plan in plans for line in plan.split("\n") if "Join " in line]
+    assert len(joins) > 10 and [line for line in joins if "strategy=" not in line] == []
