@@ -106,3 +106,25 @@ def test_several_large_dimensions_shuffle_the_feed_once(spark):
     assert got == sorted(map(tuple, plenty.collect()), key=repr) and len(got) > 90
     moved = [part for part in plan_of(scarce).split("Exchange ")[1:] if "wide" in part]
     assert plan_of(scarce).count("Exchange ") <= 2 and len(moved) <= 1
+
+
+def test_crash_lookups_deduplicate_what_they_take_and_no_more(spark, monkeypatch):
+    from workload import queries
+
+    feed = spark.createDataFrame(
+        [(1, "2020-01-01", "1:00", "b", 1.0), (1, "2020-01-02", "2:00", "a", 2.0), (None, "2020-01-03", "3:00", "c", 3.0)],
+        "collision_id bigint, crash_date string, crash_time string, source_row string, latitude double",
+    )
+    others = ["borough", "zip_code", "on_street_name", "off_street_name", "cross_street_name", "contributing_factor_vehicle_1", "vehicle_type_code1"]
+    feed = feed.withColumns({c: F.lit("x") for c in others} | {"longitude": F.lit(1.0)})
+    feed = feed.withColumn("crash_date", F.col("crash_date").cast("timestamp"))
+    written = {}
+    real = queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, name="table": written.setdefault(name, real(df, name)))
+    found = queries._crash_lookup(spark, "", lambda *_: feed, crash_time_key="crash_time")
+    assert written["staged"].columns == ["collision_id", "crash_date"]
+    assert sorted(map(str, written["staged"].collect())) == [
+        "Row(collision_id='1', crash_date=datetime.datetime(2020, 1, 2, 2, 0))",
+        "Row(collision_id=None, crash_date=datetime.datetime(2020, 1, 3, 3, 0))",
+    ]
+    assert found.columns == ["collision_id", "crash_time_key"] and found.filter("crash_time_key is not null").count() == 2

@@ -292,11 +292,22 @@ def lookup_strict_null(spark: SparkSession, sf: str) -> DataFrame:
     return _request_lookup(spark, sf, "channel_key", "status_key")
 
 
+# What each crash dimension is made of, which is also what a collision is looked up by.
+CRASH_MEMBERS = {
+    "crash_time": (dim.dim_crash_time, "crash_date"),
+    "factor": (dim.dim_factor, "contributing_factor_vehicle_1"),
+    "vehicle": (dim.dim_vehicle, "vehicle_type_code1"),
+}
+
+
 def _crash_lookup(spark: SparkSession, sf: str, raw: Query = feeds.crashes, **wanted: str) -> DataFrame:
-    staged = materialize(clean_crashes(raw(spark, sf), tiebreak=TIES).drop("_stg_loaded_at"), "staged")
-    dims = crash_dimensions(staged)
-    dims |= _saved({name: dims[name] for name in wanted.values()})
-    dims["date"], dims["geography"] = dim.dim_date(dim.days(staged, "crash_date")), dim.dim_geography(dim.crash_regions(staged))
+    """Only what the wanted lookups take goes through the deduplication: its sorts and its shuffle move whole rows."""
+    cleaned = clean_crashes(raw(spark, sf), tiebreak=TIES)
+    staged = materialize(cleaned.select("collision_id", *[CRASH_MEMBERS[name][1] for name in wanted.values()]), "staged")
+    # Those that are not wanted are named, never run.
+    dims = crash_dimensions(cleaned)
+    dims["date"], dims["geography"] = dim.dim_date(dim.days(cleaned, "crash_date")), dim.dim_geography(dim.crash_regions(cleaned))
+    dims |= _saved({name: CRASH_MEMBERS[name][0](staged) for name in wanted.values()})
     chosen = [lookup for lookup in crash_lookups(dims) if lookup.key in wanted]
     return lk.look_up(staged, chosen).select("collision_id", *wanted)
 
