@@ -6,10 +6,12 @@ wherever it stands in a document. Chunks of two lines or more that occur more th
 anywhere are compared byte by byte, and all but the first occurrence (by doc_id, then place
 in the document) are removed.
 
-``drop_repeated_passages``, used by the pipeline, has no boundaries to miss: of every two neighbouring lines that
-are not blank, with the blank ones between, all but the first occurrence are removed, compared byte by byte as
-well. Of a repeated passage of two lines or more nothing stays, whatever stands around it, and every line that goes
-still stands where it came first. One line alone is no passage.
+``drop_repeated_passages``, used by the pipeline, starts from the same chunks and then extends what they found to the
+ends of the repeated passage. Inside a chunk that stood before, every two neighbouring lines that are not blank stood
+before as well, so they go without a further look. An exact check follows for those that the chunks leave, in chunks
+seen for the first time and across boundaries: of every two neighbouring lines, with the blank ones between, all
+but the first occurrence are removed, compared byte by byte as well. Of a repeated passage of two lines or more nothing
+stays, whatever stands around it, and every line that goes still stands where it came first. One line alone is no passage.
 
 A NULL text counts as empty and stays NULL in ``drop_repeated_lines``; a text of one line has
 no multi-line chunk. Rows repeated in full, id included, count once and are treated alike.
@@ -32,8 +34,8 @@ DIVISOR = 3  # one line in so many ends a chunk
 BASE = 31
 
 
-def _with_chunks(df: DataFrame, divisor: int) -> DataFrame:
-    """Add ``chunks``, the text cut at line ends; joined by line breaks they are the text again.
+def _with_cuts(df: DataFrame, divisor: int) -> DataFrame:
+    """Add ``_lines`` and the numbers of the first and last line of every chunk, ``_first`` and ``_last``.
 
     A line ends a chunk if its rolling hash is divisible by ``divisor`` and that of the line
     before is not. That rule looks at three lines only, and it leaves no chunk of one line but
@@ -51,18 +53,57 @@ def _with_chunks(df: DataFrame, divisor: int) -> DataFrame:
     df = df.withColumn("_ends", F.when(n >= 4, ends).otherwise(F.array().cast("array<int>")))
     first = F.concat(F.array(F.lit(0)), F.transform("_ends", lambda i: i + 1))
     last = F.concat(F.col("_ends"), F.array(n - 1))
-    chunk = lambda a, b: F.array_join(F.slice("_lines", a + 1, b - a + 1), "\n")
-    return df.withColumn("chunks", F.zip_with(first, last, chunk)).drop("_lines", "_hashes", "_ends")
+    return df.withColumns({"_first": first, "_last": last}).drop("_hashes", "_ends")
+
+
+def _passage(first: Column, last: Column) -> Column:
+    return F.array_join(F.slice("_lines", first + 1, last - first + 1), "\n")
+
+
+def _with_chunks(df: DataFrame, divisor: int) -> DataFrame:
+    """Add ``chunks``, the text cut at line ends; joined by line breaks they are the text again."""
+    return _with_cuts(df, divisor).withColumn("chunks", F.zip_with("_first", "_last", _passage)).drop("_lines", "_first", "_last")
+
+
+def _written(first: Column, last: Column) -> Column:
+    """The lines that are not blank, of those numbered ``first`` to ``last``."""
+    return F.filter(F.sequence(first, last), lambda i: F.get("_lines", i).rlike(r"\S"))
+
+
+def _neighbours(at: Column) -> Column:
+    """Every two neighbours of a list of line numbers, as one number: the first of them in the upper half."""
+    n = F.greatest(F.size(at) - 1, F.lit(0))
+    return F.zip_with(F.slice(at, F.lit(1), n), F.slice(at, F.lit(2), n), lambda a, b: F.shiftleft(a.cast("bigint"), 32) + b)
+
+
+def _upper(pair: Column) -> Column:
+    return F.shiftright(pair, 32).cast("int")
+
+
+def _lower(pair: Column) -> Column:
+    return pair.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+
+def _none() -> Column:
+    return F.array().cast("array<bigint>")
 
 
 def _with_pairs(df: DataFrame) -> DataFrame:
-    """Add ``_lines``, ``_at`` (numbers of the lines that are not blank) and ``chunks``, one for every two neighbours of ``_at``."""
+    """Add ``_lines``, ``_at`` (the lines that are not blank), ``_pairs`` of neighbours not among the ``settled`` and their ``chunks``."""
     df = df.withColumn("_lines", F.split("text", "\n", -1))
-    df = df.withColumn("_at", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.get("_lines", i).rlike(r"\S")))
-    pair = lambda a, b: F.array_join(F.slice("_lines", a + 1, b - a + 1), "\n")
-    n = F.size("_at")
-    seconds = F.slice("_at", 2, F.greatest(n - 1, F.lit(0)))
-    return df.withColumn("chunks", F.zip_with(F.slice("_at", 1, F.greatest(n - 1, F.lit(0))), seconds, pair))
+    df = df.withColumn("_at", _written(F.lit(0), F.size("_lines") - 1))
+    df = df.withColumn("_pairs", F.array_except(_neighbours(F.col("_at")), F.coalesce("settled", _none())))
+    return df.withColumn("chunks", F.transform("_pairs", lambda p: _passage(_upper(p), _lower(p))))
+
+
+def _in_repeated_chunks(docs: DataFrame, divisor: int) -> DataFrame:
+    """The pairs of neighbouring lines inside chunks that stood before, as ``settled``: ck1, ck2, settled, written once."""
+    gone = repeated_chunks(docs, divisor).withColumnsRenamed({k: f"c{k}" for k in ROW})
+    cut = _with_cuts(sized_join(docs, gone, [(F.col(k), F.col(f"c{k}")) for k in ROW], "inner"), divisor)
+    cut = cut.withColumn("_ats", F.transform("removed", lambda c: _written(F.get("_first", c), F.get("_last", c))))
+    settled = F.flatten(F.transform("_ats", _neighbours)).alias("settled")
+    # Rows repeated in full come here once each, with the same pairs.
+    return materialize(cut.select("ck1", "ck2", settled).dropDuplicates(["ck1", "ck2"]), "settled_pairs")
 
 
 def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
@@ -126,23 +167,28 @@ def drop_repeated_lines(docs: DataFrame, divisor: int = DIVISOR, drop_emptied: b
     )
 
 
-def drop_repeated_passages(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
+def drop_repeated_passages(docs: DataFrame, drop_emptied: bool = False, divisor: int = DIVISOR) -> DataFrame:
     """Every input row and column, ``text`` without the passages of two lines or more that stand earlier, and ``lines_removed``.
 
     With ``drop_emptied`` the rows that lose all of their lines but blank ones go. An input column ``lines_removed`` is replaced.
+    ``divisor`` says how many lines a chunk has, which decides how much is left to the check by pairs and not what is removed.
     """
     rows = whole_rows(docs).withColumn("text", F.coalesce("row.text", F.lit("")))
-    gone = _repeated(keyed(docs), _with_pairs).withColumnsRenamed({k: f"g{k}" for k in ROW})
-    joined = sized_join(rows, gone, [(F.col(k), F.col(f"g{k}")) for k in ROW], "left")
+    settled = _in_repeated_chunks(keyed(docs), divisor)
+    of_chunks = [(F.col(k), F.col(f"c{k}")) for k in ROW]
+    gone = _repeated(sized_join(keyed(docs), settled, of_chunks, "left"), _with_pairs).withColumnsRenamed({k: f"g{k}" for k in ROW})
+    joined = sized_join(rows, settled, of_chunks, "left")
+    joined = _with_pairs(sized_join(joined, gone, [(F.col(k), F.col(f"g{k}")) for k in ROW], "left")).drop("chunks")
+    again = F.coalesce(F.transform("removed", lambda i: F.get("_pairs", i)), _none())
+    joined = joined.withColumn("_again", F.concat(again, F.coalesce("settled", _none())))
     if drop_emptied:
-        covered = F.array_distinct(F.concat("removed", F.transform("removed", lambda p: p + 1)))
-        joined = joined.filter(F.col("removed").isNull() | (F.size(covered) <= F.col("n_chunks")))
-    joined = _with_pairs(joined).drop("chunks")
-    cut = F.flatten(F.transform("removed", lambda p: F.sequence(F.get("_at", p), F.get("_at", p + 1))))
+        covered = F.array_distinct(F.concat(F.transform("_again", _upper), F.transform("_again", _lower)))
+        joined = joined.filter((F.size("_again") == 0) | (F.size(covered) < F.size("_at")))
+    cut = F.flatten(F.transform("_again", lambda p: F.sequence(_upper(p), _lower(p))))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), cut)
     joined = joined.withColumn("_left", left)
     kept = F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n")
-    none = F.col("removed").isNull()
+    none = F.size("_again") == 0
     # A step of its own, so that input columns named like those used here cannot be meant.
     done = joined.select(
         "row",

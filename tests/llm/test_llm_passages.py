@@ -61,3 +61,23 @@ def test_odd_passage_rows(spark):
     out = [(r.doc_id, r.text) for r in lines.drop_repeated_passages(docs).collect()]
     assert sorted(out, key=str) == sorted([(1, None), (2, ""), (3, "x\ny"), (3, "x\ny"), (4, ""), (None, "x\nz"), (5, "one")], key=str)
     assert lines.drop_repeated_passages(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("divisor", [2, 3])
+def test_chunks_settle_what_lies_inside_them(spark, divisor):
+    """Repeated chunks come first; only pairs that they leave are looked at one by one, and the outcome is by hand's."""
+    rng = np.random.default_rng(11)
+    shared = [f"shared {j}" if j % 7 else "" for j in range(60)]
+    texts = [(i, "\n".join([f"{i} head", *shared[: int(rng.integers(30, 60))], f"{i} tail"])) for i in range(6)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in [*texts, texts[2]]], SCHEMA)
+    keyed = lines.keyed(docs)
+    settled = lines._in_repeated_chunks(keyed, divisor)
+    assert settled.count() == 5
+    pairs = {(r.doc_id, p >> 32, p & 0xFFFFFFFF) for r in keyed.join(settled, (keyed.k1 == settled.ck1) & (keyed.k2 == settled.ck2)).collect() for p in r.settled}
+    assert len(pairs) > 30
+    whole = dict(texts)
+    earlier = lambda i, passage: any(f"\n{passage}\n" in f"\n{whole[j]}\n" for j in range(i))
+    for i, a, b in pairs:
+        assert earlier(i, "\n".join(whole[i].split("\n")[a : b + 1]))
+    want = by_hand(texts)
+    assert {r.doc_id: r.text for r in lines.drop_repeated_passages(docs, divisor=divisor).collect()} == want
