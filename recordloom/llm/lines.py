@@ -65,9 +65,14 @@ def _with_chunks(df: DataFrame, divisor: int) -> DataFrame:
     return _with_cuts(df, divisor).withColumn("chunks", F.zip_with("_first", "_last", _passage)).drop("_lines", "_first", "_last")
 
 
-def _written(first: Column, last: Column) -> Column:
+def _written(lines: Column, first: Column, last: Column) -> Column:
     """The lines that are not blank, of those numbered ``first`` to ``last``."""
-    return F.filter(F.sequence(first, last), lambda i: F.get("_lines", i).rlike(r"\S"))
+    return F.filter(F.sequence(first, last), lambda i: F.get(lines, i).rlike(r"\S"))
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value worked out once; a column that only a lambda reads may be worked out for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _neighbours(at: Column) -> Column:
@@ -91,16 +96,18 @@ def _none() -> Column:
 def _with_pairs(df: DataFrame) -> DataFrame:
     """Add ``_lines``, ``_at`` (the lines that are not blank), ``_pairs`` of neighbours not among the ``settled`` and their ``chunks``."""
     df = df.withColumn("_lines", F.split("text", "\n", -1))
-    df = df.withColumn("_at", _written(F.lit(0), F.size("_lines") - 1))
+    df = df.withColumn("_at", _written(F.col("_lines"), F.lit(0), F.size("_lines") - 1))
     df = df.withColumn("_pairs", F.array_except(_neighbours(F.col("_at")), F.coalesce("settled", _none())))
-    return df.withColumn("chunks", F.transform("_pairs", lambda p: _passage(_upper(p), _lower(p))))
+    passages = lambda whole: F.transform("_pairs", lambda p: F.array_join(F.slice(whole, _upper(p) + 1, _lower(p) - _upper(p) + 1), "\n"))
+    return df.withColumn("chunks", _once(F.col("_lines"), passages))
 
 
 def _in_repeated_chunks(docs: DataFrame, divisor: int) -> DataFrame:
     """The pairs of neighbouring lines inside chunks that stood before, as ``settled``: ck1, ck2, settled, written once."""
     gone = repeated_chunks(docs, divisor).withColumnsRenamed({k: f"c{k}" for k in ROW})
     cut = _with_cuts(sized_join(docs, gone, [(F.col(k), F.col(f"c{k}")) for k in ROW], "inner"), divisor)
-    cut = cut.withColumn("_ats", F.transform("removed", lambda c: _written(F.get("_first", c), F.get("_last", c))))
+    ats = lambda t: F.transform("removed", lambda c: _written(t["_lines"], F.get(t["_first"], c), F.get(t["_last"], c)))
+    cut = cut.withColumn("_ats", _once(F.struct("_lines", "_first", "_last"), ats))
     settled = F.flatten(F.transform("_ats", _neighbours)).alias("settled")
     # Rows repeated in full come here once each, with the same pairs.
     return materialize(cut.select("ck1", "ck2", settled).dropDuplicates(["ck1", "ck2"]), "settled_pairs")
@@ -179,7 +186,7 @@ def drop_repeated_passages(docs: DataFrame, drop_emptied: bool = False, divisor:
     gone = _repeated(sized_join(keyed(docs), settled, of_chunks, "left"), _with_pairs).withColumnsRenamed({k: f"g{k}" for k in ROW})
     joined = sized_join(rows, settled, of_chunks, "left")
     joined = _with_pairs(sized_join(joined, gone, [(F.col(k), F.col(f"g{k}")) for k in ROW], "left")).drop("chunks")
-    again = F.coalesce(F.transform("removed", lambda i: F.get("_pairs", i)), _none())
+    again = F.coalesce(_once(F.col("_pairs"), lambda pairs: F.transform("removed", lambda i: F.get(pairs, i))), _none())
     joined = joined.withColumn("_again", F.concat(again, F.coalesce("settled", _none())))
     if drop_emptied:
         covered = F.array_distinct(F.concat(F.transform("_again", _upper), F.transform("_again", _lower)))
@@ -187,7 +194,7 @@ def drop_repeated_passages(docs: DataFrame, drop_emptied: bool = False, divisor:
     cut = F.flatten(F.transform("_again", lambda p: F.sequence(_upper(p), _lower(p))))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), cut)
     joined = joined.withColumn("_left", left)
-    kept = F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n")
+    kept = _once(F.col("_lines"), lambda whole: F.array_join(F.transform("_left", lambda i: F.get(whole, i)), "\n"))
     none = F.size("_again") == 0
     # A step of its own, so that input columns named like those used here cannot be meant.
     done = joined.select(
