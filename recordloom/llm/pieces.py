@@ -2,8 +2,10 @@
 
 The normaliser walks the model's compiled character map, taking the longest known prefix at each
 place, and records for every normalised byte the source byte it comes from. Merges run on stretches
-that no piece of the vocabulary can cross, each distinct stretch once per task while it stays in a
-bounded cache. Every piece is then projected to the bytes of the original text it covers.
+that no piece of the vocabulary can cross, each distinct stretch once per Python worker while it stays in a
+bounded cache, which holds nothing but its ids: the bytes that a piece covers and those it decodes to
+are looked up by id, for a text at once. Every piece is then projected to the bytes of the original
+text it covers.
 
 The results equal the sentencepiece library's. A NULL or empty text has only the begin and end
 ids; text of any length, repeated rows and extra columns (all of which are kept, those named like
@@ -18,7 +20,9 @@ import heapq
 import re
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-CACHED = 100_000  # distinct stretches in either of the two generations a task remembers
+CACHED = 250_000  # distinct stretches in either of the two generations that a Python worker remembers
+SHORT = 64  # characters of a stretch that is remembered, and merged by a list
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 ADDED = {
@@ -71,6 +76,23 @@ class CharacterMap:
         return unit >> 10 << ((unit & 1 << 9) >> 6)
 
 
+class Remembered(dict):
+    """What ``make`` gives for a stretch, asked for by ``[]``: the last ones made, and those asked for again of the ones before."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        found = self.older.get(stretch) or self.make(stretch)
+        if len(stretch) <= SHORT:
+            if len(self) >= CACHED:
+                self.older = dict(self)
+                self.clear()
+            self[stretch] = found
+        return found
+
+
 class Model:
     """The tables of one model and the work on single texts."""
 
@@ -90,16 +112,44 @@ class Model:
         self.scores = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         # What an id decodes to: text, a byte, or nothing for a control id.
-        self.surface: list[str | int] = [
-            p.piece.replace(SPACE, " ") if p.type == NORMAL
-            else int(p.piece[3:5], 16) if p.type == BYTE
-            else proto.trainer_spec.unk_surface if p.type == UNKNOWN else ""
+        self.surface: list[bytes] = [
+            p.piece.replace(SPACE, " ").encode() if p.type == NORMAL
+            else bytes([int(p.piece[3:5], 16)]) if p.type == BYTE
+            else proto.trainer_spec.unk_surface.encode() if p.type == UNKNOWN else b""
             for p in proto.pieces
         ]
-        self.sizes = {p: len(p.encode()) for p in self.ids}
+        # The normalised bytes that an id covers, and those of the character that an id of a byte begins.
+        self.sizes, self.begins = np.zeros(len(proto.pieces), "<u4"), np.zeros(len(proto.pieces), np.uint8)
+        for piece, i in self.ids.items():
+            self.sizes[i] = len(piece.encode())
+        for byte, i in self.byte_ids.items():
+            self.begins[i] = 1 if byte < 0x80 else 0 if byte < 0xC0 else 2 + (byte >= 0xE0) + (byte >= 0xF0)
+        self._number_merges()
         self.stretches = self._splitter()
-        self.cache: dict[str, tuple[bytes, bytes, str]] = {}
-        self.older = self.cache
+        self.cache = Remembered(self._pack)
+
+    def _number_merges(self) -> None:
+        """Number what merges make by falling score, then characters: the best of several merges is the least number.
+
+        ``follows`` has by the number on the left, then on the right, what a merge of both makes; ``tied`` the numbers of equal score.
+        """
+        made = sorted((p for p in self.ids if len(p) > 1), key=self.scores.get, reverse=True)
+        self.parts = [*made, *sorted(set("".join(self.ids)))]
+        self.numbers = {p: n for n, p in enumerate(self.parts)}
+        self.packed = [self._ids([p]) for p in self.parts]
+        none: dict[int, int] = {}
+        self.follows = [none] * (len(self.parts) + 1)  # the last is for all characters of no piece
+        for n, p in enumerate(made):
+            for cut in range(1, len(p)):
+                left, right = self.numbers.get(p[:cut]), self.numbers.get(p[cut:])
+                if left is not None and right is not None:
+                    if self.follows[left] is none:
+                        self.follows[left] = {}
+                    self.follows[left][right] = n
+        equal: dict[float, set[int]] = {}
+        for n, p in enumerate(made):
+            equal.setdefault(self.scores[p], set()).add(n)
+        self.tied = {n: group for group in equal.values() if len(group) > 1 for n in group}
 
     def _splitter(self):
         """Cut a normalised text where no piece of the vocabulary can lie across, so merges on each side are independent.
@@ -122,7 +172,7 @@ class Model:
         if not self.map.units and not self.squeeze:
             # Only blanks change, from one byte to three.
             width = 1 + 2 * (np.frombuffer(data, np.uint8) == 32)
-            source = np.repeat(np.arange(len(data)), width)
+            source = np.repeat(np.arange(len(data), dtype=np.int32), width)
             out = text.replace(" ", SPACE)
         else:
             pieces: list[bytes] = []
@@ -142,26 +192,14 @@ class Model:
             while self.squeeze and pieces and pieces[-1] == SPACE.encode():
                 pieces.pop(), places.pop()
             out = b"".join(pieces).decode()
-            source = np.repeat(np.array(places, int), [len(p) for p in pieces]) if pieces else np.zeros(0, int)
+            source = np.repeat(np.array(places, np.int32), [len(p) for p in pieces]) if pieces else np.zeros(0, np.int32)
         if out and self.dummy_prefix:
             out, source = SPACE + out, np.concatenate([np.full(3, source[0]), source])
-        return out, np.append(source, len(data))
+        return out, np.append(source, np.int32(len(data)))
 
     def merge(self, stretch: str) -> list[str]:
         """Pieces of a stretch: the best-scored neighbours are merged first, of equal ones the leftmost."""
         scores = self.scores
-        if len(stretch) <= 64:
-            parts, none = list(stretch), float("-inf")
-            gains = [scores.get(a + b, none) for a, b in zip(parts, parts[1:])]
-            while gains and (best := max(gains)) > none:
-                at = gains.index(best)
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
-                del gains[at]
-                if at:
-                    gains[at - 1] = scores.get(parts[at - 1] + parts[at], none)
-                if at < len(gains):
-                    gains[at] = scores.get(parts[at] + parts[at + 1], none)
-            return parts
         parts = list(stretch)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap = [(-scores[p], i, p) for i in range(len(parts) - 1) if (p := parts[i] + parts[i + 1]) in scores]
@@ -180,49 +218,60 @@ class Model:
                     heapq.heappush(heap, (-scores[p], a, p))
         return [p for p in parts if p]
 
-    def _stretch(self, stretch: str) -> tuple[bytes, bytes, str]:
-        """Ids and lengths in normalised bytes, both packed, and the decoded text of a stretch."""
-        if found := self.older.get(stretch):
-            self.cache[stretch] = found
-            return found
-        parts = self.merge(stretch)
+    def _merge_numbers(self, stretch: str) -> list[int]:
+        """The same for a short stretch, in numbers; one beyond the last stands for a character of no piece."""
+        follows, tied, none = self.follows, self.tied, len(self.parts)
+        parts = [self.numbers.get(c, none) for c in stretch]
+        gains = [follows[a].get(b, none) for a, b in zip(parts, parts[1:])]
+        while gains and (best := min(gains)) < none:
+            if best in tied:
+                best = next(g for g in gains if g in tied[best])
+            at = gains.index(best)
+            parts[at] = best
+            del parts[at + 1], gains[at]
+            if at:
+                gains[at - 1] = follows[parts[at - 1]].get(best, none)
+            if at < len(gains):
+                gains[at] = follows[best].get(parts[at + 1], none)
+        return parts
+
+    def _ids(self, parts: list[str]) -> bytes:
+        """Packed ids; what is no piece has one for each byte."""
+        ids: list[int] = []
+        for part in parts:
+            ids += [self.ids[part]] if part in self.ids else [self.byte_ids[b] for b in part.encode()]
+        return array("I", ids).tobytes()
+
+    def _pack(self, stretch: str) -> bytes:
+        if len(stretch) <= SHORT:
+            packed = self.packed
+            try:
+                return b"".join([packed[n] for n in self._merge_numbers(stretch)])
+            except IndexError:  # a character of no piece
+                pass
+        return self._ids(self.merge(stretch))
+
+    def _lengths(self, ids: np.ndarray) -> np.ndarray:
+        """Normalised bytes that each id covers; of the ids of a character's bytes the last covers it."""
+        lengths = self.sizes[ids]
+        begins = self.begins[ids]
+        at = np.flatnonzero(begins)
+        lengths[at + begins[at] - 1] = begins[at]
+        return lengths
+
+    def _text(self, ids: Iterable[int]) -> str:
+        """What ids decode to that all stand for something."""
+        surface = self.surface
+        data = b"".join([surface[i] for i in ids])
         try:
-            ids, lengths = [self.ids[p] for p in parts], [self.sizes[p] for p in parts]
-        except KeyError:
-            ids, lengths = [], []
-            for piece in parts:
-                size = len(piece.encode())
-                if piece in self.ids:
-                    ids.append(self.ids[piece])
-                    lengths.append(size)
-                else:  # one id per byte, the last of which covers the character
-                    ids += [self.byte_ids[b] for b in piece.encode()]
-                    lengths += [0] * (size - 1) + [size]
-        found = array("I", ids).tobytes(), array("I", lengths).tobytes(), self._text(ids)
-        if len(self.cache) >= CACHED:
-            self.older, self.cache = self.cache, {}
-        if len(stretch) <= 64:
-            self.cache[stretch] = found
-        return found
-
-    def _text(self, ids: list[int]) -> str:
-        surfaces = [self.surface[i] for i in ids]
-        if int not in map(type, surfaces):
-            return "".join(surfaces)
-        out: list[str] = []
-        held = bytearray()
-        for surface in [*surfaces, ""]:
-            if isinstance(surface, int):
-                held.append(surface)
-                continue
-            if held:  # a byte that is part of no character becomes one replacement character
-                out.append("".join("�" if "\udc80" <= c <= "\udcff" else c for c in held.decode(errors="surrogateescape")))
-                held.clear()
-            out.append(surface)
-        return "".join(out)
+            return data.decode()
+        except UnicodeDecodeError:  # a byte that is part of no character becomes one replacement character
+            return "".join("�" if "\udc80" <= c <= "\udcff" else c for c in data.decode(errors="surrogateescape"))
 
     def decode(self, ids: list[int]) -> str:
-        return self._first_blank(self._text(ids))
+        """The text of any ids: bytes on both sides of one that stands for nothing make no character together."""
+        runs = [list(run) for shown, run in groupby(ids, lambda i: self.surface[i] != b"") if shown]
+        return self._first_blank("".join(map(self._text, runs)))
 
     def _first_blank(self, text: str) -> str:
         return text[1:] if self.dummy_prefix and text[:1] == " " else text
@@ -230,10 +279,15 @@ class Model:
     def encode(self, text: str) -> tuple[bytes, bytes, np.ndarray, str]:
         """Packed ids and piece lengths (begin and end ids not included), source offsets, decoded text."""
         normal, source = self.normalise(text)
-        get = self.cache.get
-        found = [get(s) or self._stretch(s) for s in self.stretches(normal)]
-        ids, lengths, texts = zip(*found) if found else ((), (), ())
-        return b"".join(ids), b"".join(lengths), source, self._first_blank("".join(texts))
+        packed = b"".join(map(self.cache.__getitem__, self.stretches(normal)))
+        decoded = self._first_blank(self._text(array("I", packed)))
+        return packed, self._lengths(np.frombuffer(packed, "<u4")).tobytes(), source, decoded
+
+
+@lru_cache(maxsize=1)
+def _held(blob: bytes) -> Model:
+    """A worker's tables outlast its task, and so do the stretches it remembers."""
+    return Model(blob)
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -252,9 +306,10 @@ def encode(docs: DataFrame, model_path: str, add: list[str], text_col: str = "te
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     kept = [f for f in docs.schema.fields if f.name not in add]
     names = [f.name for f in kept]
+    spans = not {"starts", "ends", "spans_sha256"}.isdisjoint(add)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Model(model.value)
+        tables = _held(model.value)
         first, last = (np.array([[tables.bos], [tables.eos]], "<u4")) if begin_end else np.zeros((2, 0), "<u4")
         for whole in batches:
             for at in range(0, whole.num_rows, 512):  # bounds what the lists of a batch take
@@ -263,9 +318,10 @@ def encode(docs: DataFrame, model_path: str, add: list[str], text_col: str = "te
                 for text in batch.column(text_col).to_pylist():
                     ids, lengths, source, decoded = tables.encode(text or "")
                     ids = first.tobytes() + ids + last.tobytes()
-                    bounds = source[np.cumsum(np.frombuffer(b"\0" * 4 * (1 + len(first)) + lengths + b"\0" * 4 * len(last), "<u4"))].astype("<u4")
-                    if len(first):
-                        bounds[0] = bounds[1] = 0
+                    if spans:
+                        bounds = source[np.cumsum(np.frombuffer(b"\0" * 4 * (1 + len(first)) + lengths + b"\0" * 4 * len(last), "<u4"))].astype("<u4")
+                        if len(first):
+                            bounds[0] = bounds[1] = 0
                     for name in add:
                         out[name].append(
                             len(ids) // 4 if name == "n_tokens"
@@ -291,7 +347,7 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", to: str = "de
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Model(model.value)
+        tables = _held(model.value)
         for batch in batches:
             texts = pa.array([tables.decode(ids or []) for ids in batch.column(ids_col).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], texts], names=[*names, to])
